@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from riskloom.catalog import register
 from riskloom.fixtures import view, with_views
+from riskloom.functions.network import ip_to_int
 from riskloom.operators import clean, derive, geo, velocity
+from riskloom.session import scratch_path
+from riskloom.sources import tables
 
 # Amounts of the driver tables are cents.
 CENTS = 2
@@ -100,3 +103,277 @@ def flagship_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         "txn_id", "CustomerId", "device_id", "ip_address", "country", "Amount", "IsRefund", "age",
         *derive.CALENDAR_FEATURES, derive.SINCE_SIGNUP, *names, "class",
     )
+
+
+# --- cleaning ------------------------------------------------------------------------------
+
+SQL_TXN_MICROS = "* REPLACE (epoch_us(purchase_time) AS purchase_time, epoch_us(signup_time) AS signup_time)"
+
+
+def _micros(df: DataFrame, *columns: str) -> DataFrame:
+    """Times as microseconds, so that both engines give plain numbers."""
+    return df.withColumns({c: F.unix_micros(F.col(c).cast("timestamp")) for c in columns})
+
+
+@register("dedup_rows", with_views(["txn_dup"], f"SELECT DISTINCT {SQL_TXN_MICROS} FROM txn_dup"))
+def dedup_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _micros(clean.drop_exact_duplicates(view(spark, sf_dir, "txn_dup")), "purchase_time", "signup_time")
+
+
+@register(
+    "dedup_report",
+    with_views(
+        ["txn_dup"],
+        """SELECT (SELECT count(*) FROM txn_dup) AS rows_before, count(*) AS rows_after,
+  (SELECT count(*) FROM txn_dup) - count(*) AS rows_removed, CAST(12 AS INTEGER) AS n_columns,
+  CAST(max(CASE WHEN user_id IS NULL OR browser IS NULL OR ip_address IS NULL THEN 1 ELSE 0 END) AS INTEGER) AS any_null
+FROM (SELECT DISTINCT * FROM txn_dup)""",
+    ),
+)
+def dedup_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.duplicate_report(view(spark, sf_dir, "txn_dup"))
+
+
+SQL_DIRTY_TIME = "epoch_us(coalesce(TRY_CAST(purchase_time AS TIMESTAMP), TIMESTAMP '1970-01-01 00:00:00'))"
+
+
+@register(
+    "coerce_types",
+    with_views(
+        ["txn_dirty"],
+        f"""SELECT txn_id, {SQL_DIRTY_TIME} AS purchase_time,
+  coalesce(TRY_CAST(purchase_value AS DOUBLE), 0.0E0) AS purchase_value,
+  coalesce(TRY_CAST(age AS DOUBLE), 0.0E0) AS age, source, browser FROM txn_dirty""",
+    ),
+)
+def coerce_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = clean.correct_types(view(spark, sf_dir, "txn_dirty"), ["purchase_time"], ["purchase_value", "age"])
+    return _micros(df, "purchase_time")
+
+
+@register(
+    "ensure_numeric",
+    with_views(
+        ["txn"],
+        """SELECT txn_id, CAST(txn_id AS DOUBLE) AS id_number,
+  coalesce(CAST(user_id AS DOUBLE), 0.0E0) AS user_id, CAST(epoch_us(purchase_time) // 1000000 AS DOUBLE) AS purchase_time,
+  CAST(epoch_us(signup_time) // 1000000 AS DOUBLE) AS signup_time, CAST(purchase_value AS DOUBLE) AS purchase_value,
+  coalesce(TRY_CAST(device_id AS DOUBLE), 0.0E0) AS device_id, coalesce(TRY_CAST(source AS DOUBLE), 0.0E0) AS source,
+  coalesce(TRY_CAST(browser AS DOUBLE), 0.0E0) AS browser, coalesce(TRY_CAST(sex AS DOUBLE), 0.0E0) AS sex,
+  coalesce(TRY_CAST(age AS DOUBLE), 0.0E0) AS age, coalesce(TRY_CAST(ip_address AS DOUBLE), 0.0E0) AS ip_address,
+  CAST(class AS DOUBLE) AS class FROM txn""",
+    ),
+)
+def ensure_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    txn = view(spark, sf_dir, "txn").withColumn("id_number", F.col("txn_id"))
+    return clean.ensure_numeric(txn, exclude=["txn_id"])
+
+
+@register(
+    "rename_label_ids",
+    with_views(
+        ["txn"],
+        """SELECT txn_id, user_id AS CustomerId, purchase_value AS Amount, epoch_us(purchase_time) AS TransactionStartTime,
+  user_id AS TransactionId, CAST(class AS INTEGER) AS class FROM txn""",
+    ),
+)
+def rename_label_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    txn = clean.training_ids(view(spark, sf_dir, "txn"))
+    txn = clean.label_to_int(clean.rename_known(txn), "class")
+    return _micros(txn, "TransactionStartTime").select(
+        "txn_id", "CustomerId", "Amount", "TransactionStartTime", "TransactionId", "class"
+    )
+
+
+@register(
+    "scoring_ids",
+    with_views(
+        ["txn"],
+        """SELECT txn_id, coalesce(CAST(user_id AS VARCHAR), 'nan') AS CustomerId,
+  concat(coalesce(CAST(user_id AS VARCHAR), 'nan'), '_', CAST(txn_id AS VARCHAR)) AS TransactionId FROM txn""",
+    ),
+)
+def scoring_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = clean.scoring_ids(view(spark, sf_dir, "txn"), "ecommerce", row_key="txn_id")
+    return out.select("txn_id", "CustomerId", "TransactionId")
+
+
+@register(
+    "scoring_ids_by_position",
+    "SELECT count(*) AS n_rows, count(DISTINCT TransactionId) AS n_ids, min(TransactionId) AS first_id, "
+    "max(length(TransactionId)) AS longest FROM "
+    "(SELECT concat('CC_TXN_', CAST(row_number() OVER () - 1 AS VARCHAR)) AS TransactionId FROM lineitem)",
+)
+def scoring_ids_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = clean.scoring_ids(view(spark, sf_dir, "card"), "card")
+    return out.agg(
+        F.count("*").alias("n_rows"),
+        F.count_distinct("TransactionId").alias("n_ids"),
+        F.min("TransactionId").alias("first_id"),
+        F.max(F.length("TransactionId")).cast("long").alias("longest"),
+    )
+
+
+@register(
+    "null_fill",
+    with_views(
+        ["txn"],
+        """SELECT txn_id, coalesce(user_id, 0) AS user_id, coalesce(browser, 'missing_value') AS browser,
+  coalesce(ip_address, 'missing_value') AS ip_address, 'Unknown' AS country,
+  coalesce(TRY_CAST(age AS DOUBLE), 0.0E0) AS age FROM txn""",
+    ),
+)
+def null_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    txn = clean.add_missing_columns(view(spark, sf_dir, "txn"), clean.SCORING_DEFAULTS)
+    txn = clean.fill_zero(txn.withColumn("age", F.col("age").try_cast("double")), ["age"])
+    return clean.fill_missing(txn).select("txn_id", "user_id", "browser", "ip_address", "country", "age")
+
+
+@register(
+    "score_time_impute",
+    with_views(
+        ["txn_dirty"],
+        """WITH typed AS (SELECT txn_id, TRY_CAST(purchase_value AS DOUBLE) AS purchase_value,
+  coalesce(TRY_CAST(age AS DOUBLE), 0.0E0) AS age, browser, source FROM txn_dirty)
+SELECT txn_id, coalesce(purchase_value, (SELECT quantile_cont(purchase_value, 0.5) FROM typed)) AS purchase_value,
+  age, coalesce(browser, (SELECT browser FROM typed WHERE browser IS NOT NULL GROUP BY browser ORDER BY count(*) DESC, browser LIMIT 1)) AS browser,
+  source FROM typed""",
+    ),
+)
+def score_time_impute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dirty = view(spark, sf_dir, "txn_dirty").drop("purchase_time")
+    dirty = dirty.withColumn("purchase_value", F.col("purchase_value").try_cast("double"))
+    return clean.fill_for_scoring(
+        dirty, ["purchase_value", "age", "browser", "source"], numbers_from_text=["age"]
+    )
+
+
+@register(
+    "numeric_only",
+    with_views(["card"], "SELECT V1, V4, Amount, Class FROM card"),
+)
+def numeric_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the requested columns, those that exist and are numeric."""
+    card = view(spark, sf_dir, "card").withColumn("note", F.lit("text"))
+    return card.select(clean.numeric_columns(card, ["V1", "V4", "Amount", "note", "absent", "Class"]))
+
+
+# --- sources -------------------------------------------------------------------------------
+
+
+@register("scan_csv_typed", "SELECT n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation")
+def scan_csv_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nation table through delimited text and back, with one type overridden."""
+    nation = view(spark, sf_dir, "nation")
+    path = scratch_path(spark, "nation_text")
+    tables.write_features(nation, path, fmt="csv")
+    return tables.read_delimited(spark, path, schema=nation.schema, column_types={"n_regionkey": "string"})
+
+
+@register("read_or_build", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
+def read_or_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Built and written on the first call, only read on the second."""
+    path = scratch_path(spark, "event_counts")
+
+    def build() -> DataFrame:
+        return view(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n"))
+
+    tables.read_or_build(spark, path, build)
+    return tables.read_or_build(spark, path, build)
+
+
+# --- scalar features -----------------------------------------------------------------------
+
+
+@register("ip_to_int", with_views(["txn"], f"SELECT txn_id, {sql_ip('ip_address')} AS ip_number FROM txn"))
+def ip_number(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return view(spark, sf_dir, "txn").select("txn_id", ip_to_int(F.col("ip_address")).alias("ip_number"))
+
+
+@register("ip_country_asof", with_views(["txn", "ip_country"], f"WITH {SQL_GEO} SELECT txn_id, country FROM geo"))
+def ip_country_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    txn = view(spark, sf_dir, "txn").select("txn_id", "ip_address")
+    return geo.locate_addresses(txn, view(spark, sf_dir, "ip_country")).select("txn_id", "country")
+
+
+@register(
+    "ip_country_shuffled", with_views(["txn", "ip_country"], f"WITH {SQL_GEO} SELECT txn_id, country FROM geo")
+)
+def ip_country_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The way taken when the range table is too large to broadcast."""
+    txn = view(spark, sf_dir, "txn").select("txn_id", "ip_address")
+    ranges = view(spark, sf_dir, "ip_country")
+    return geo.locate_addresses(txn, ranges, broadcast_ranges=0).select("txn_id", "country")
+
+
+@register(
+    "amount_refund",
+    with_views(
+        ["txn"],
+        "SELECT txn_id, abs(purchase_value) AS Amount, CAST(purchase_value < 0 AS INTEGER) AS IsRefund FROM txn",
+    ),
+)
+def amount_refund(spark: SparkSession, sf_dir: str) -> DataFrame:
+    txn = clean.rename_known(view(spark, sf_dir, "txn"))
+    return derive.add_refund_flag(txn).select("txn_id", "Amount", "IsRefund")
+
+
+@register("temporal_parts", with_views(["txn"], f"SELECT txn_id, {SQL_CALENDAR} FROM txn"))
+def temporal_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    txn = clean.rename_known(view(spark, sf_dir, "txn"))
+    return derive.add_calendar_features(txn).select("txn_id", *derive.CALENDAR_FEATURES, derive.SINCE_SIGNUP)
+
+
+@register(
+    "signup_gap_median_fill",
+    with_views(
+        ["txn"],
+        """WITH gaps AS (SELECT txn_id, CASE WHEN txn_id % 7 <> 0 THEN
+  CAST(epoch_us(purchase_time) - epoch_us(signup_time) AS DOUBLE) / 86400000000.0E0 END AS gap FROM txn)
+SELECT txn_id, greatest(coalesce(gap, (SELECT quantile_cont(gap, 0.5) FROM gaps)), 0.0E0) AS time_since_signup FROM gaps""",
+    ),
+)
+def signup_gap_median_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    txn = view(spark, sf_dir, "txn")
+    txn = txn.withColumn("signup_time", F.when(F.col("txn_id") % 7 != 0, F.col("signup_time")))
+    out = derive.add_signup_gap_median_filled(txn, "purchase_time", "signup_time")
+    return out.select("txn_id", derive.SINCE_SIGNUP)
+
+
+# --- velocity ------------------------------------------------------------------------------
+
+
+def _velocity_check(id_col: str) -> str:
+    return with_views(["txn"], sql_velocity(id_col, "txn", "purchase_time", SQL_AMOUNT))
+
+
+def _velocity_query(id_col: str, **options):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        txn = derive.add_refund_flag(view(spark, sf_dir, "txn"), "purchase_value")
+        out = velocity.add_velocity(
+            txn, [id_col], "purchase_time", "purchase_value", money_scale=CENTS, **options
+        )
+        return out.select("txn_id", *velocity.feature_names(id_col))
+
+    return run
+
+
+for _name, _id in (("user", "user_id"), ("device", "device_id"), ("ip", "ip_address")):
+    register(f"velocity_{_name}", _velocity_check(_id))(_velocity_query(_id))
+    # The way taken for busy ids, forced for all of them.
+    register(f"velocity_{_name}_chunked", _velocity_check(_id))(_velocity_query(_id, frame_rows=0))
+
+
+@register(
+    "velocity_edges",
+    with_views(
+        ["txn"],
+        """SELECT txn_id, CAST(0 AS BIGINT) AS absent_transactions_last_1d, 0.0E0 AS absent_total_amount_last_1d,
+  0.0E0 AS absent_avg_amount_last_1d, 0.0E0 AS Amount FROM txn""",
+    ),
+)
+def velocity_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No amount column and no id column: amounts and features are 0."""
+    txn = view(spark, sf_dir, "txn").select("txn_id", "purchase_time")
+    out = velocity.add_velocity(txn, ["absent"], "purchase_time", "Amount", windows=[1])
+    return out.drop("purchase_time")

@@ -15,8 +15,8 @@ log = logging.getLogger(__name__)
 LOWER, UPPER, COUNTRY = "lower_bound_ip_address", "upper_bound_ip_address", "country"
 UNKNOWN = "Unknown"
 
-# Range pieces a broadcast may hold; beyond this the lookup is shuffled.
-BROADCAST_PIECES = 2_000_000
+# Ranges a broadcast may hold; beyond this the lookup is shuffled.
+BROADCAST_RANGES = 1_000_000
 # A /16 block with more pieces than this is looked up by /24 instead.
 DENSE_BLOCK = 32
 
@@ -27,13 +27,16 @@ def _block(number: Column, bits: int) -> Column:
     return F.greatest(F.least(F.shiftright(number, bits), F.lit(last).cast("long")), F.lit(-1).cast("long"))
 
 
-def disjoint_ranges(ranges: DataFrame, encoding: str = "dotted") -> DataFrame:
+def disjoint_ranges(ranges: DataFrame, encoding: str = "dotted", small: bool = False) -> DataFrame:
     """Ranges cut so that each address lies in at most one: (lo, hi, country).
 
     As-of matching looks only at the range with the greatest lower bound, so a range ends
     where the next one starts. Of ranges with the same lower bound the one with the greatest
-    upper bound, then the greatest country, is kept. Ranges without a bound are dropped.
+    upper bound, then the greatest country, is kept. Ranges without a bound are dropped. A
+    ``small`` table, of checked size, is prepared in one task and without shuffles.
     """
+    if small:
+        ranges = ranges.coalesce(1)
     bounds = ranges.select(
         ip_to_int(F.col(LOWER), encoding).alias("lo"),
         ip_to_int(F.col(UPPER), encoding).alias("hi"),
@@ -41,6 +44,9 @@ def disjoint_ranges(ranges: DataFrame, encoding: str = "dotted") -> DataFrame:
     ).where("lo is not null and hi is not null")
     single = bounds.groupBy("lo").agg(F.max(F.struct("hi", "country")).alias("kept"))
     single = single.select("lo", "kept.hi", "kept.country", _block(F.col("lo"), 16).alias("block"))
+    if small:
+        cut = single.withColumn("next_lo", F.lead("lo").over(Window.orderBy("lo")))
+        return _cut(cut)
     # The next lower bound is in the same /16 block (at most 65,536 distinct bounds), or is the
     # first of the next block in use (at most 65,538 blocks, one row each).
     following = F.lead("lo").over(Window.partitionBy("block").orderBy("lo"))
@@ -52,6 +58,10 @@ def disjoint_ranges(ranges: DataFrame, encoding: str = "dotted") -> DataFrame:
         .join(firsts, "block")
         .withColumn("next_lo", F.coalesce("following", "next_block_lo"))
     )
+    return _cut(cut)
+
+
+def _cut(cut: DataFrame) -> DataFrame:
     return cut.select(
         "lo", F.least(F.col("hi"), F.col("next_lo") - 1).alias("hi"), "country"
     ).where("hi >= lo")
@@ -65,8 +75,8 @@ def _pieces(disjoint: DataFrame) -> DataFrame:
     """
     blocks = F.sequence(_block(F.col("lo"), 16), _block(F.col("hi"), 16))
     pieces = disjoint.select("lo", "hi", "country", F.explode(blocks).alias("block"))
-    sizes = pieces.groupBy("block").agg(F.count(F.lit(1)).alias("pieces"))
-    return pieces.join(sizes, "block")
+    # Ranges are disjoint and whole numbers, so a block holds at most 65,536 pieces.
+    return pieces.withColumn("pieces", F.count(F.lit(1)).over(Window.partitionBy("block")))
 
 
 def _match(numbers: DataFrame, number: str, pieces: DataFrame, small: bool, out: str) -> DataFrame:
@@ -96,7 +106,7 @@ def locate_addresses(
     ip_col: str = "ip_address",
     out: str = COUNTRY,
     encoding: str = "dotted",
-    broadcast_pieces: int = BROADCAST_PIECES,
+    broadcast_ranges: int = BROADCAST_RANGES,
 ) -> DataFrame:
     """Add the country of each row's address, ``Unknown`` where no range holds it.
 
@@ -107,15 +117,17 @@ def locate_addresses(
     if ip_col not in df.columns or not {LOWER, UPPER, COUNTRY} <= set(ranges.columns):
         log.warning("address or range columns are missing; rows are not located")
         return df
-    pieces = _pieces(disjoint_ranges(ranges, encoding))
-    # The check of the broadcast size; the range table itself is read once for it.
-    n_pieces = pieces.count()
-    if n_pieces == 0 and ranges.isEmpty():
+    # This count is the check of the broadcast size: disjoint ranges give at most one piece each
+    # plus one per block border.
+    n_ranges = ranges.count()
+    if n_ranges == 0:
         log.warning("the range table is empty; rows are not located")
         return df
+    small = n_ranges <= broadcast_ranges
+    pieces = _pieces(disjoint_ranges(ranges, encoding, small))
     kept = [c for c in df.columns if c != out]
     numbered = df.select(*kept, ip_to_int(F.col(ip_col), encoding).alias("__ip"))
-    if n_pieces <= broadcast_pieces:
+    if small:
         return _match(numbered, "__ip", pieces, True, out).drop("__ip")
     # Too many ranges to broadcast: look up each distinct address once, then join back. The
     # lookup has one row per address, so AQE can split the rows of a very common address.

@@ -3,8 +3,9 @@
 For a row at time t and a window of w days the frame is [t - w, t): rows exactly w earlier
 count, the row itself and rows at the same instant do not.
 
-A range-frame window would put all rows of one id into one sorted partition and walk the
-frame again for every row. Here time is cut into chunks instead, and each frame is split into
+When a count shows that no id has more than a few thousand rows, plain range-frame windows do
+it with one shuffle. They would put all rows of a busy id into one sorted partition and walk the
+frame again for every row, so beyond that time is cut into chunks and each frame is split into
 
 * the head: rows of the same chunk before t,
 * whole chunks in between, from one total per id and chunk,
@@ -21,7 +22,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions import coerce
@@ -38,6 +39,39 @@ def feature_names(id_col: str, windows: Sequence[int] = WINDOW_DAYS) -> list[str
     return [f"{id_col}_{measure}_last_{w}d" for w in windows for measure in MEASURES]
 
 
+# Up to this many rows per id a range frame is walked row by row.
+FRAME_ROWS = 5_000
+
+
+def busiest(df: DataFrame, id_cols: Sequence[str]) -> dict[str, int]:
+    """Rows of the most frequent non-null id, per id column."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("id")) for c in id_cols])
+    counts = df.select(F.inline(pairs)).where("id is not null").groupBy("name", "id").count()
+    found = {r["name"]: r["most"] for r in counts.groupBy("name").agg(F.max("count").alias("most")).collect()}
+    return {c: found.get(c, 0) for c in id_cols}
+
+
+def _measures(id_col: str, w: int, count: Column, total: Column, money_scale: int | None) -> dict[str, Column]:
+    total = total.cast("double")
+    if money_scale is not None:
+        total = total / F.lit(float(10**money_scale))
+    average = F.when(count > 0, total / count).otherwise(F.lit(0.0))
+    return dict(zip(feature_names(id_col, [w]), (count.cast("long"), total, average)))
+
+
+def _by_frames(df: DataFrame, id_col: str, windows: Sequence[int], money_scale: int | None) -> DataFrame:
+    """Range frames over ``__when`` and ``__amount``; rows without an id are spread by their time."""
+    known = F.col(id_col).isNotNull() & F.col("__when").isNotNull()
+    spread = F.when(~known, F.pmod(F.xxhash64("__when", "__amount"), F.lit(4_096)))
+    measures = {}
+    for w in windows:
+        frame = Window.partitionBy(id_col, spread).orderBy("__when").rangeBetween(-w * DAY_MICROS, -1)
+        count = F.when(known, F.count(F.lit(1)).over(frame)).otherwise(F.lit(0))
+        total = F.coalesce(F.when(known, F.sum("__amount").over(frame)), F.lit(0))
+        measures |= _measures(id_col, w, count, total, money_scale)
+    return df.withColumns(measures)
+
+
 def _history(
     df: DataFrame, id_col: str, windows: Sequence[int], money_scale: int | None, chunk_minutes: int
 ) -> DataFrame:
@@ -101,14 +135,9 @@ def _history(
         return first
 
     columns = []
-    for w, names in zip(windows, (feature_names("", [w]) for w in windows)):
-        count = frame("n", w)
-        total = frame("s", w).cast("double")
-        if money_scale is not None:
-            total = total / F.lit(float(10**money_scale))
-        average = F.when(count > 0, total / count).otherwise(F.lit(0.0))
-        for name, value in zip(names, (count.cast("long"), total, average)):
-            columns.append(value.alias(name))
+    for w in windows:
+        measures = _measures("", w, frame("n", w), frame("s", w), money_scale)
+        columns += [value.alias(name) for name, value in measures.items()]
     return joined.select("__id", F.col("place").alias("__at"), *columns)
 
 
@@ -121,6 +150,7 @@ def add_velocity(
     money_scale: int | None = None,
     chunk_minutes: int = 60,
     history: DataFrame | None = None,
+    frame_rows: int = FRAME_ROWS,
 ) -> DataFrame:
     """Add count, total and mean of earlier amounts per id column and window.
 
@@ -128,7 +158,8 @@ def add_velocity(
     amount column amounts are 0.0; id columns that are absent are left out, and when all of them
     are absent their features are 0. ``money_scale`` sums amounts as whole units of that many
     decimals, which makes totals independent of the order of the rows. ``history`` holds earlier
-    transactions that count but do not come out.
+    transactions that count but do not come out. ``frame_rows`` is the most rows per id for which
+    plain range frames are used.
     """
     if time_col not in df.columns:
         log.error("no time column %s; velocity features are not added", time_col)
@@ -150,19 +181,27 @@ def add_velocity(
         names = [n for c in id_cols for n in feature_names(c, windows)]
         return df.withColumns(dict(zip(names, zeros * len(id_cols))))
 
-    def activity(frame: DataFrame, id_col: str) -> DataFrame:
+    def timed(frame: DataFrame) -> DataFrame:
         kinds = {f.name: f.dataType for f in frame.schema.fields}
         when = coerce.timestamp_or_null(F.col(time_col), kinds[time_col]).cast("timestamp")
         amount = coerce.number_or_zero(F.col(amount_col), kinds[amount_col])
         if money_scale is not None:
             amount = F.round(amount * F.lit(float(10**money_scale))).cast("long")
-        return frame.select(
-            F.col(id_col).cast(types[id_col]).alias("__id"), F.unix_micros(when).alias("__at"), amount.alias("__amount")
+        return frame.withColumns({"__when": F.unix_micros(when), "__amount": amount})
+
+    def activity(frame: DataFrame, id_col: str) -> DataFrame:
+        return timed(frame).select(
+            F.col(id_col).cast(types[id_col]).alias("__id"), F.col("__when").alias("__at"), "__amount"
         ).where("__id is not null and __at is not null")
 
+    # History rows count but do not come out, which only the chunked way handles.
+    most = busiest(df, present) if history is None else dict.fromkeys(present, frame_rows + 1)
     # The instant is the join key back to the rows.
-    out = df.withColumn("__when", F.unix_micros(F.col(time_col)))
+    out = timed(df)
     for id_col in present:
+        if most[id_col] <= frame_rows:
+            out = _by_frames(out, id_col, windows, money_scale)
+            continue
         rows = activity(df, id_col)
         if history is not None:
             rows = rows.unionByName(activity(history, id_col))
@@ -176,4 +215,4 @@ def add_velocity(
         zero = {n: (F.lit(0).cast("long") if "_transactions_last_" in n else F.lit(0.0)) for n in names}
         out = out.join(features, same, "left").drop("__key", "__key_at")
         out = out.withColumns({n: F.coalesce(F.col(n), zero[n]) for n in names})
-    return out.drop("__when")
+    return out.drop("__when", "__amount")

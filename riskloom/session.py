@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,20 +41,30 @@ def local_session(cores: int | str = "*", app: str = "riskloom", memory: str = "
     return configure(spark)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder so later jobs re-read it instead of recomputing.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors can read and write, as named by ``spark.checkpoint.dir``.
 
-    The folder is the one named by ``spark.checkpoint.dir``. Only when the session names
-    none (tests, a laptop) is a temporary folder used, and only on a local master.
+    Only when the session names none (tests, a laptop) is a temporary folder used, and only on a
+    local master.
     """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+        folder = tempfile.mkdtemp(prefix="riskloom-")
+        context.setCheckpointDir(folder)
+    return folder
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path under the shared folder for a table a job writes and reads back."""
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the checkpoint folder so later jobs re-read it instead of recomputing."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir") or df.sparkSession.conf.get(
-            "spark.checkpoint.dir", None
-        )
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors can read")
-            folder = tempfile.mkdtemp(prefix="riskloom-checkpoint-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
