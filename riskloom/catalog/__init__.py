@@ -25,4 +25,4 @@ def register(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
 
 
 def load_all() -> None:
-    from riskloom.catalog import features  # noqa: F401
+    from riskloom.catalog import features, preparation  # noqa: F401

@@ -261,13 +261,16 @@ def numeric_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- sources -------------------------------------------------------------------------------
 
 
-@register("scan_csv_typed", "SELECT n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation")
+@register(
+    "scan_csv_typed",
+    "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_totalprice, o_orderstatus, o_orderpriority FROM orders",
+)
 def scan_csv_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The nation table through delimited text and back, with one type overridden."""
-    nation = view(spark, sf_dir, "nation")
-    path = scratch_path(spark, "nation_text")
-    tables.write_features(nation, path, fmt="csv")
-    return tables.read_delimited(spark, path, schema=nation.schema, column_types={"n_regionkey": "string"})
+    """Orders through delimited text and back, with the type of the key overridden."""
+    orders = view(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
+    path = scratch_path(spark, "orders_text")
+    tables.write_features(orders, path, fmt="csv")
+    return tables.read_delimited(spark, path, schema=orders.schema, column_types={"o_orderkey": "string"})
 
 
 @register("read_or_build", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")

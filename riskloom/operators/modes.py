@@ -31,14 +31,21 @@ def most_frequent(df: DataFrame, columns: Sequence[str]) -> dict[str, str | None
     return {c: found.get(c) for c in columns}
 
 
-def category_lists(df: DataFrame, columns: Sequence[str], max_categories: int) -> dict[str, list[str]]:
-    """Sorted distinct values of each column; fails when a column has more than ``max_categories``."""
-    values = category_counts(df, columns).select("feature", "value")
-    sizes = {r["feature"]: r["n"] for r in values.groupBy("feature").agg(F.count("*").alias("n")).collect()}
-    wide = {c: n for c, n in sizes.items() if n > max_categories}
+def category_lists(
+    df: DataFrame, columns: Sequence[str], max_categories: int
+) -> tuple[dict[str, list[str]], dict[str, str | None]]:
+    """Sorted distinct values and the most frequent value of each column.
+
+    Fails when a column has more than ``max_categories`` values.
+    """
+    counts = category_counts(df, columns)
+    best = F.min(F.struct((-F.col("n")).alias("rank"), "value")).getField("value")
+    sizes = counts.groupBy("feature").agg(F.count("*").alias("values"), best.alias("most")).collect()
+    wide = {r["feature"]: r["values"] for r in sizes if r["values"] > max_categories}
     if wide:
         raise ValueError(f"too many categories for one column each: {wide}; raise max_categories if intended")
     found: dict[str, list[str]] = {c: [] for c in columns}
-    for row in values.collect():
+    for row in counts.select("feature", "value").collect():
         found[row["feature"]].append(row["value"])
-    return {c: sorted(v) for c, v in found.items()}
+    most = {r["feature"]: r["most"] for r in sizes}
+    return {c: sorted(v) for c, v in found.items()}, {c: most.get(c) for c in columns}
