@@ -53,8 +53,15 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST((l_orderkey * 60) %
     "scored": """
 SELECT event_id, CASE WHEN event_id % 11 = 0 THEN 1 ELSE 0 END AS y,
   CASE WHEN event_id % 11 = 0 THEN 0.3E0 + 0.7E0 * (CAST((event_id * 37) % 1000 AS DOUBLE) / 1000) ELSE 0.8E0 * (CAST((event_id * 37) % 1000 AS DOUBLE) / 1000) END AS p FROM events""",
+    # Model runs with ties and NaN scores.
+    "runs": """
+SELECT event_type AS dataset, CONCAT('model_', CAST(user_id % 7 AS STRING)) AS model, CAST(event_id % 5 AS INT) AS version,
+  CAST(event_id AS INT) AS run_order, CAST(ts AS TIMESTAMP) AS created_at,
+  CASE WHEN event_id % 97 = 0 THEN CAST('NaN' AS DOUBLE) WHEN value > 100 THEN 0.9E0 ELSE CAST(FLOOR(value) AS DOUBLE) / 200 END AS roc_auc,
+  value AS f1 FROM events""",
 }
 NEEDS = {
+    "runs": ["events"],
     "txn": ["events"],
     "txn_dup": ["txn"],
     "txn_dirty": ["txn"],

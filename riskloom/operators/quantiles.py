@@ -91,7 +91,8 @@ def exact_quantiles(
     large = [b for b in brackets if stats[f"n_{columns.index(b.column)}"] > settle_rows]
     _settle(values, large, stats, columns, settle_rows, accuracy)
     for bracket, (left, right) in zip(brackets, _ranked(values, brackets)):
-        answers[bracket.column][bracket.share] = left + (right - left) * bracket.weight
+        weight = bracket.weight
+        answers[bracket.column][bracket.share] = left if left == right else left * (1.0 - weight) + right * weight
     return answers
 
 
@@ -211,6 +212,7 @@ def exact_quantiles_by(df: DataFrame, by: str, column: str, shares: Sequence[flo
     out = ranked.groupBy(by, "n").agg(*picks)
     for i, share in enumerate(shares):
         position = F.lit(float(share)) * (F.col("n") - 1)
-        left, right = F.col(f"__left_{i}"), F.col(f"__right_{i}")
-        out = out.withColumn(f"q_{i}", left + (right - left) * (position - F.floor(position)))
+        left, right, weight = F.col(f"__left_{i}"), F.col(f"__right_{i}"), position - F.floor(position)
+        between = left * (F.lit(1.0) - weight) + right * weight
+        out = out.withColumn(f"q_{i}", F.when(left == right, left).otherwise(between))
     return out.select(by, "n", *[f"q_{i}" for i in range(len(shares))])
