@@ -25,4 +25,10 @@ def register(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
 
 
 def load_all() -> None:
-    from riskloom.catalog import evaluation, exploration, features, preparation  # noqa: F401
+    from riskloom.catalog import (  # noqa: F401
+        evaluation,
+        exploration,
+        features,
+        preparation,
+        resampling,
+    )

@@ -167,19 +167,24 @@ def sql_box(column: str, source: str, group: str | None = None) -> str:
     return f"""WITH q AS (SELECT {keys}quantile_cont({column}, 0.25) AS q1, quantile_cont({column}, 0.5) AS med,
   quantile_cont({column}, 0.75) AS q3 FROM {source} {where}{by}),
 w AS (SELECT {source}.*, q1, med, q3, q1 - 1.5E0 * (q3 - q1) AS lo, q3 + 1.5E0 * (q3 - q1) AS hi FROM {source}{using} {where})
-SELECT {keys or f"'{column}' AS feature, "}count(*) AS n, any_value(q1) AS q1, any_value(med) AS median, any_value(q3) AS q3,
+SELECT {keys or f"'{column}' AS feature, "}count(*) AS n, round(any_value(q1), 9) AS q1, round(any_value(med), 9) AS median, round(any_value(q3), 9) AS q3,
   min({column}) FILTER ({column} BETWEEN lo AND hi) AS whisker_low, max({column}) FILTER ({column} BETWEEN lo AND hi) AS whisker_high,
   count(*) FILTER ({column} < lo OR {column} > hi) AS outliers FROM w{by}"""
 
 
+def _box_rounded(df: DataFrame) -> DataFrame:
+    """Interpolated quartiles differ between engines in the last bit."""
+    return df.withColumns({c: F.round(c, 9) for c in ("q1", "median", "q3")})
+
+
 @register("box_summary", with_views(["txn"], sql_box("purchase_value", "txn")))
 def box_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return explore.box_summary(view(spark, sf_dir, "txn"), ["purchase_value"])
+    return _box_rounded(explore.box_summary(view(spark, sf_dir, "txn"), ["purchase_value"]))
 
 
 @register("box_by_category", with_views(["txn"], sql_box("purchase_value", "txn", "browser")))
 def box_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return explore.box_by_category(view(spark, sf_dir, "txn"), "purchase_value", "browser")
+    return _box_rounded(explore.box_by_category(view(spark, sf_dir, "txn"), "purchase_value", "browser"))
 
 
 _IQR = """WITH q AS (SELECT quantile_cont(V5, 0.75) - quantile_cont(V5, 0.25) AS iqr,

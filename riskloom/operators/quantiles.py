@@ -91,8 +91,10 @@ def exact_quantiles(
     large = [b for b in brackets if stats[f"n_{columns.index(b.column)}"] > settle_rows]
     _settle(values, large, stats, columns, settle_rows, accuracy)
     for bracket, (left, right) in zip(brackets, _ranked(values, brackets)):
-        weight = bracket.weight
-        answers[bracket.column][bracket.share] = left if left == right else left * (1.0 - weight) + right * weight
+        weight, gap = bracket.weight, right - left
+        # Counting from the nearer end keeps the rounding error small.
+        value = left + gap * weight if weight < 0.5 else right - gap * (1.0 - weight)
+        answers[bracket.column][bracket.share] = value
     return answers
 
 
@@ -213,6 +215,7 @@ def exact_quantiles_by(df: DataFrame, by: str, column: str, shares: Sequence[flo
     for i, share in enumerate(shares):
         position = F.lit(float(share)) * (F.col("n") - 1)
         left, right, weight = F.col(f"__left_{i}"), F.col(f"__right_{i}"), position - F.floor(position)
-        between = left * (F.lit(1.0) - weight) + right * weight
-        out = out.withColumn(f"q_{i}", F.when(left == right, left).otherwise(between))
+        gap = right - left
+        value = F.when(weight < 0.5, left + gap * weight).otherwise(right - gap * (F.lit(1.0) - weight))
+        out = out.withColumn(f"q_{i}", value)
     return out.select(by, "n", *[f"q_{i}" for i in range(len(shares))])
