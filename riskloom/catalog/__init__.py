@@ -29,6 +29,7 @@ def load_all() -> None:
         evaluation,
         exploration,
         features,
+        modelling,
         preparation,
         resampling,
     )
