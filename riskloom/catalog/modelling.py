@@ -16,7 +16,7 @@ from riskloom.catalog.preparation import rounded
 from riskloom.catalog.resampling import CARD_KEY, FEATURES, card_with_key
 from riskloom.fixtures import view, with_views
 from riskloom.operators import explain, metrics, models, sampling
-from riskloom.plans import interpret, prepare, score, train
+from riskloom.plans import engineer, interpret, prepare, score, train
 from riskloom.session import scratch_path, written_once
 from riskloom.sources import runs
 
@@ -35,7 +35,8 @@ QUICK = {
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Card rows split for training; large amounts per unit are the class to learn."""
     card = card_with_key(spark, sf_dir).withColumn("risky", (F.col("V5") > 1500).cast("int"))
-    return sampling.stratified_split(card, "risky", ["row_key"])
+    # Many passes follow: written once, in partitions of even size.
+    return written_once(sampling.stratified_split(card, "risky", ["row_key"]).hint("rebalance"), "labelled")
 
 
 def _train(kind: str, task: str = "classifier"):
@@ -189,3 +190,26 @@ def interpretation(spark: SparkSession, sf_dir: str) -> DataFrame:
         explained=20, local_instances=2, background_rows=50, orders=5, local_samples=500,
     )
     return found.importance
+
+
+@register(
+    "data_preparation_run",
+    with_views(
+        ["txn", "card"],
+        """WITH n AS (SELECT 'ecommerce' AS dataset, class AS label, count(*) AS n FROM txn GROUP BY ALL
+  UNION ALL SELECT 'card', Class, count(*) FROM card GROUP BY ALL)
+SELECT dataset, label, 'before' AS stage, n FROM n
+UNION ALL SELECT dataset, label, 'after', max(n) OVER (PARTITION BY dataset) FROM n""",
+    ),
+)
+def data_preparation_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both raw tables cleaned, prepared and written; class sizes before and after oversampling."""
+    done = engineer.prepare_both(
+        view(spark, sf_dir, "txn_dup"), view(spark, sf_dir, "ip_country"), card_with_key(spark, sf_dir),
+        scratch_path(spark, "prepared"), "txn_id", "row_key", CARD_NUMBERS, CENTS,
+    )
+    parts = [
+        done[name].imbalance.select(F.lit(name).alias("dataset"), F.col(label).alias("label"), "stage", "n")
+        for name, label in (("ecommerce", "class"), ("card", "Class"))
+    ]
+    return parts[0].unionByName(parts[1])

@@ -345,19 +345,54 @@ def correlation(df: DataFrame, first: str, second: str) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """All pairs of numeric columns in one pass, in long form with both orders and the diagonal."""
+    """Pearson correlation of all pairs of numeric columns, in long form with both orders and the diagonal.
+
+    Each pair uses the rows where both are present; r is null when either is constant there. One
+    pass finds the means, a second adds up products of the centred columns batch by batch, so
+    only one number per pair and task is shuffled, however many columns there are.
+    """
     names = numeric_columns(df, columns)
-    pairs = list(itertools.combinations_with_replacement(range(len(names)), 2))
-    row = df.agg(
-        *[_correlation(_number(df, names[i]), _number(df, names[j])).alias(f"r_{i}_{j}") for i, j in pairs]
+    values = df.select(*[_number(df, c).alias(f"c{i}") for i, c in enumerate(names)])
+    row = values.agg(
+        *[F.avg(c).alias(f"mean_{c}") for c in values.columns],
+        *[(F.min(c) < F.max(c)).alias(f"varies_{c}") for c in values.columns],
+    ).first()
+    means = np.array([row[f"mean_{c}"] or 0.0 for c in values.columns])
+    varies = [bool(row[f"varies_{c}"]) for c in values.columns]
+    d = len(names)
+
+    def add_products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((4, d, d))
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns]) - means
+            there = (~np.isnan(x)).astype(float)
+            x = np.nan_to_num(x)
+            sums += np.stack([there.T @ there, x.T @ there, (x * x).T @ there, x.T @ x])
+        i, j = np.divmod(np.arange(d * d), d)
+        parts = dict(zip(("n", "s", "ss", "p"), sums.reshape(4, -1)))
+        yield pa.RecordBatch.from_pydict({"i": i.astype(np.int32), "j": j.astype(np.int32), **parts})
+
+    kind = "i int, j int, n double, s double, ss double, p double"
+    sums = values.mapInArrow(add_products, kind).groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "s", "ss", "p")])
+    # (i, j) holds the sums of column i over rows where j is present; (j, i) those of column j.
+    other = sums.select(F.col("i").alias("j"), F.col("j").alias("i"), F.col("s").alias("t"), F.col("ss").alias("tt"))
+    both = sums.join(F.broadcast(other), ["i", "j"])
+
+    def spread(total: str, squares: str) -> Column:
+        value = F.col(squares) - F.try_divide(F.col(total) * F.col(total), F.col("n"))
+        # What rounding leaves of a column that is constant over these rows.
+        return F.when(value > F.lit(1e-13) * F.col(squares), value)
+
+    covariance = F.col("p") - F.try_divide(F.col("s") * F.col("t"), F.col("n"))
+    r = F.try_divide(covariance, F.sqrt(spread("s", "ss")) * F.sqrt(spread("t", "tt")))
+    flags = F.array(*[F.lit(v) for v in varies])
+    usable = F.get(flags, F.col("i")) & F.get(flags, F.col("j"))
+    labels = F.array(*[F.lit(c) for c in names])
+    return both.select(
+        F.get(labels, F.col("i")).alias("feature_a"),
+        F.get(labels, F.col("j")).alias("feature_b"),
+        F.when(usable & r.isNotNull(), F.when(F.col("i") == F.col("j"), F.lit(1.0)).otherwise(r)).alias("r"),
     )
-    cells = []
-    for i, j in pairs:
-        # A column agrees with itself exactly, unless it is constant.
-        r = F.col(f"r_{i}_{j}") if i != j else F.when(F.col(f"r_{i}_{j}").isNotNull(), F.lit(1.0))
-        for a, b in {(i, j), (j, i)}:
-            cells.append(F.struct(F.lit(names[a]).alias("feature_a"), F.lit(names[b]).alias("feature_b"), r.alias("r")))
-    return row.select(F.inline(F.array(*cells)))
 
 
 def crosstab_counts(df: DataFrame, first: str, second: str) -> DataFrame:
