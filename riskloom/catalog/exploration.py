@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import itertools
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.catalog import register
@@ -20,6 +20,19 @@ TXN_TYPES = {
 CARD = ["V1", "V2", "V3", "V4", "V5", "Amount", "Time"]
 
 
+# Means of cents can lie exactly between two rounded values, where the order of the sum decides;
+# both engines shift them by this much before rounding.
+SHIFT = 0.0000137
+
+
+def rounded_mean(column: str) -> Column:
+    return F.round(F.col(column) + F.lit(SHIFT), 4).alias(column)
+
+
+def sql_rounded_mean(expression: str) -> str:
+    return f"round({expression} + {SHIFT:.7f}::DOUBLE, 4)"
+
+
 def union(parts: list[str]) -> str:
     return " UNION ALL ".join(parts)
 
@@ -73,7 +86,7 @@ def missing_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
         ["card"],
         union(
             [
-                f"SELECT '{c}' AS feature, count({c}) AS count, round(avg({c}), {DIGITS}) AS mean, "
+                f"SELECT '{c}' AS feature, count({c}) AS count, {sql_rounded_mean(f'avg({c})')} AS mean, "
                 f"round(stddev_samp({c}), {DIGITS}) AS std, min({c}) AS min, quantile_cont({c}, 0.25) AS q25, "
                 f"quantile_cont({c}, 0.5) AS q50, quantile_cont({c}, 0.75) AS q75, max({c}) AS max FROM card"
                 for c in CARD
@@ -82,7 +95,8 @@ def missing_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def describe_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(explore.describe_numeric(view(spark, sf_dir, "card"), [*CARD, "absent"]), "mean", "std")
+    table = rounded(explore.describe_numeric(view(spark, sf_dir, "card"), [*CARD, "absent"]), "std")
+    return table.withColumn("mean", rounded_mean("mean"))
 
 
 @register(
@@ -271,8 +285,8 @@ def crosstab(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "monthly_trend",
-    f"SELECT strftime(date_trunc('month', o_orderdate), '%Y-%m') AS month, round(avg(o_totalprice), 4) AS o_totalprice, "
-    f"round(avg(o_custkey), 4) AS o_custkey FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1",
+    f"SELECT strftime(date_trunc('month', o_orderdate), '%Y-%m') AS month, {sql_rounded_mean('avg(o_totalprice)')} AS o_totalprice, "
+    f"{sql_rounded_mean('avg(o_custkey)')} AS o_custkey FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1",
 )
 def monthly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     trend = explore.monthly_trend(
@@ -280,8 +294,8 @@ def monthly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return trend.select(
         F.date_format("YearMonth", "yyyy-MM").alias("month"),
-        F.round("o_totalprice", 4).alias("o_totalprice"),
-        F.round("o_custkey", 4).alias("o_custkey"),
+        rounded_mean("o_totalprice"),
+        rounded_mean("o_custkey"),
     )
 
 
