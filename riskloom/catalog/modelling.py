@@ -115,21 +115,29 @@ def ecommerce_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 WEIGHTS = {"V1": 0.02, "V2": -0.1, "V5": 0.0015, "Amount": 0.00001}
 
 
-def _linear_sql() -> str:
+def _linear_sql(digits: int | None = 6) -> str:
+    def contribution(column: str, weight: float) -> str:
+        exact = f"{weight!r}::DOUBLE * ({column} - (SELECT avg({column}) FROM card))"
+        return exact if digits is None else f"round({exact}, {digits}) + 0.0E0"
+
     return " UNION ALL ".join(
-        f"SELECT {', '.join(CARD_KEYS)}, '{c}' AS feature, round({w!r}::DOUBLE * ({c} - (SELECT avg({c}) FROM card)), 6) + 0.0E0 AS contribution FROM card"
+        f"SELECT {', '.join(CARD_KEYS)}, '{c}' AS feature, {contribution(c, w)} AS contribution FROM card"
         for c, w in WEIGHTS.items()
     )
 
 
+def _contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    card = card_with_key(spark, sf_dir)
+    means = card.agg(*[F.avg(c).alias(c) for c in WEIGHTS]).first().asDict()
+    return explain.shapley_linear(card, "row_key", WEIGHTS, means)
+
+
 @register(
     "shapley_linear",
     with_views(["card"], f"SELECT {CARD_KEY} AS row_key, feature, contribution FROM ({_linear_sql()})"),
 )
 def shapley_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
-    card = card_with_key(spark, sf_dir)
-    means = card.agg(*[F.avg(c).alias(c) for c in WEIGHTS]).first().asDict()
-    return rounded(explain.shapley_linear(card, "row_key", WEIGHTS, means), "contribution")
+    return rounded(_contributions(spark, sf_dir), "contribution")
 
 
 @register(
@@ -137,11 +145,11 @@ def shapley_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
     with_views(
         ["card"],
         f"""SELECT feature, round(avg(abs(contribution)), 5) AS mean_abs, round(min(contribution), 5) AS lowest,
-  round(max(contribution), 5) AS highest, count(*) AS n FROM ({_linear_sql()}) GROUP BY feature""",
+  round(max(contribution), 5) AS highest, count(*) AS n FROM ({_linear_sql(None)}) GROUP BY feature""",
     ),
 )
 def shapley_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = explain.importance(shapley_linear(spark, sf_dir))
+    table = explain.importance(_contributions(spark, sf_dir))
     return table.withColumns({c: F.round(c, 5) for c in ("mean_abs", "lowest", "highest")})
 
 

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.functions import coerce
 from riskloom.operators.running import running_totals
 
 SETTLE_ROWS = 200_000
@@ -45,8 +46,7 @@ class _Bracket:
 
 
 def _number(df: DataFrame, column: str) -> Column:
-    value = F.col(column).cast("double")
-    return F.when(~F.isnan(value), value)
+    return coerce.number_or_null(F.col(column), df.schema[column].dataType)
 
 
 def exact_quantiles(

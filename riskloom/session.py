@@ -1,4 +1,4 @@
-"""Session settings and lineage cutting shared by every job."""
+"""Session settings and scratch tables shared by every job."""
 
 from __future__ import annotations
 
@@ -17,6 +17,9 @@ RUNTIME_SETTINGS = {
 }
 
 
+_scratch: list[str] = []
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the operators rely on; cluster sizing is left alone."""
     for key, value in RUNTIME_SETTINGS.items():
@@ -59,15 +62,19 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder for a table a job writes and reads back."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder so later jobs re-read it instead of recomputing."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables this process has written, once their results are no longer needed."""
+    dropped = 0
+    while _scratch:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        dropped += bool(files.delete(path, True))
+    return dropped
 
 
 def written_once(df: DataFrame, name: str) -> DataFrame:
