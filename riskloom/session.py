@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,13 +20,33 @@ RUNTIME_SETTINGS = {
 
 
 _scratch: list[str] = []
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application; they need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="riskloom-package-"), "riskloom.zip")
+    with zipfile.ZipFile(archive, "w") as bundle:
+        for folder, _, files in os.walk(package):
+            for name in files:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    bundle.write(path, os.path.relpath(path, os.path.dirname(package)))
+    # Spark serves the file to every executor, also to those that join later.
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the operators rely on; cluster sizing is left alone."""
+    """Apply the runtime settings and ship the code the operators rely on; cluster sizing is left alone."""
     for key, value in RUNTIME_SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
