@@ -233,6 +233,9 @@ def with_roles(df: DataFrame, id_col: str, uri_col: str, payload_col: str, least
     narrow = rows.where(F.col("n_bytes") >= least).select("row", "id", "digest")
     grouped = smallest_of_group(narrow, ["digest"], ["id", "row"], shuffle_partitions(df.sparkSession))
     copies = grouped.where("row <> best.row").select("row", F.col("best.id").alias("refers_to"))
+    # Written first, so that Spark knows their size: few copies are broadcast under its own limit
+    # and the payloads stay where they are; many are joined by a shuffle.
+    copies = written_once(copies, "copies")
     return rows.join(copies, "row", "left").drop("row")
 
 
