@@ -1,4 +1,4 @@
 """Operators for large training corpora: extraction, filtering, deduplication, decontamination, packing."""
 
-from riskloom.llm import query_exact_dedup, query_token_files, query_warc  # noqa: F401
+from riskloom.llm import query_exact_dedup, query_packing, query_token_files, query_warc  # noqa: F401
 from riskloom.llm.registry import ORACLES, QUERIES  # noqa: F401
