@@ -1,4 +1,4 @@
 """Operators for large training corpora: extraction, filtering, deduplication, decontamination, packing."""
 
-from riskloom.llm import query_decontaminate, query_exact_dedup, query_html, query_packing, query_quality, query_simhash, query_toxicity, query_token_files, query_warc  # noqa: F401
+from riskloom.llm import query_decontaminate, query_exact_dedup, query_html, query_packing, query_quality, query_repeats, query_simhash, query_toxicity, query_token_files, query_warc  # noqa: F401
 from riskloom.llm.registry import ORACLES, QUERIES  # noqa: F401
