@@ -51,7 +51,7 @@ WORD = re.compile(r"[^\W\d_]+")
 def word_ids(text: str | None) -> np.ndarray:
     """The distinct words of a text as sorted 32-bit hashes."""
     words = set(WORD.findall(text.lower())) if text else ()
-    return np.unique(np.array([xxhash.xxh32_intdigest(w.encode("utf-8")) for w in words], dtype=np.int64))
+    return np.unique(np.array([xxhash.xxh32_intdigest(w.encode("utf-8")) for w in words], dtype=np.uint32))
 
 
 @dataclass
@@ -123,7 +123,7 @@ def fit_nnpu(positive: Sparse, unlabelled: Sparse, prior: float, steps: int = ST
 def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> Words:
     if not positive or not unlabelled or not 0 < prior < 1:
         inside = min(max(prior, 1e-6), 1 - 1e-6)
-        return Words(np.zeros(0, np.int64), np.zeros(0), float(np.log(inside / (1 - inside))))
+        return Words(np.zeros(0, np.uint32), np.zeros(0), float(np.log(inside / (1 - inside))))
     ids = screened(positive, unlabelled)
     folds = FOLDS if min(len(positive), len(unlabelled)) >= 2 * FOLDS else 1
     total, intercept = np.zeros(len(ids)), 0.0
@@ -141,13 +141,15 @@ def sample_words(rows: DataFrame) -> list[np.ndarray]:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found(batch: pa.RecordBatch) -> pa.RecordBatch:
-            words = [word_ids(t) for t in batch.column("text").to_pylist()]
-            return pa.RecordBatch.from_arrays([batch.column("id"), pa.array(words, pa.list_(pa.int64()))], ["id", "words"])
+            words = [word_ids(t).tobytes() for t in batch.column("text").to_pylist()]
+            return pa.RecordBatch.from_arrays([batch.column("id"), pa.array(words, pa.binary())], ["id", "words"])
 
         return over_slices(batches, found)
 
-    gathered = rows.select("id", "text").mapInArrow(work, f"id {dict(rows.dtypes)['id']}, words array<long>").collect()
-    return [np.array(r["words"], dtype=np.int64) for r in sorted(gathered, key=lambda r: (str(r["id"]), r["words"]))]
+    gathered = rows.select("id", "text").mapInArrow(work, f"id {dict(rows.dtypes)['id']}, words binary").collect()
+    # Packed: four bytes a word, so both samples take some tens of megabytes.
+    gathered.sort(key=lambda r: (str(r["id"]), bytes(r["words"])))
+    return [np.frombuffer(bytes(r["words"]), dtype=np.uint32) for r in gathered]
 
 
 def fit_toxicity(df: DataFrame, labels: DataFrame, key_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Words:
