@@ -178,7 +178,11 @@ def first_and_spans(records: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     records = records[order_of(records)]
     new = np.ones(len(records), dtype=bool)
     new[1:] = (records["g"][1:] != records["g"][:-1]) | (records["c"][1:] != records["c"][:-1])
-    return records[new], spans_of(records[~new])
+    first = np.flatnonzero(new)
+    head = records[np.repeat(first, np.diff(np.append(first, len(records))))] if len(first) else records
+    # A repeated row of the document that comes first is that document.
+    other = ~new & ((records["id"] != head["id"]) | (records["h"] != head["h"]) | (records["pos"] != head["pos"]))
+    return records[new], spans_of(records[other])
 
 
 ROWS = "kind int, bucket int, data binary"
