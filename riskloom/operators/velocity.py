@@ -3,9 +3,7 @@
 For a row at time t and a window of w days the frame is [t - w, t): rows exactly w earlier
 count, the row itself and rows at the same instant do not.
 
-When a count shows that no id has more than a few hundred rows, plain range-frame windows do
-it with one shuffle. They would put all rows of a busy id into one sorted partition and walk the
-frame again for every row, so beyond that time is cut into chunks and each frame is split into
+Time is cut into chunks and each frame is split into
 
 * the head: rows of the same chunk before t,
 * whole chunks in between, from one total per id and chunk,
@@ -14,7 +12,12 @@ frame again for every row, so beyond that time is cut into chunks and each frame
 Rows are first merged per (id, instant), so many rows at one instant count as one. A copy of
 each, moved w later, brings the tail into the chunk of t; head and tail are then plain running
 sums over (id, chunk). One very active id is thereby spread over as many tasks as it has
-chunks, and the work is linear in the rows.
+chunks, and the work is linear in the rows. This is the way at every size: no answer depends on
+how busy an id is.
+
+All id columns are worked on at once, as narrow (id, instant, amount) rows. Their measures come back
+to the wide rows in a single join, on the ids and the instant together. Amounts are summed as whole units,
+so a total does not depend on the order of the rows.
 """
 
 from __future__ import annotations
@@ -39,27 +42,17 @@ def feature_names(id_col: str, windows: Sequence[int] = WINDOW_DAYS) -> list[str
     return [f"{id_col}_{measure}_last_{w}d" for w in windows for measure in MEASURES]
 
 
-# Up to this many rows per id, walking a range frame row by row is faster than chunks.
-FRAME_ROWS = 500
-
+# Decimals kept of amounts unless told otherwise.
+MONEY_SCALE = 6
 
-def busiest(df: DataFrame, id_cols: Sequence[str]) -> dict[str, int]:
-    """Rows of the most frequent non-null id, per id column."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("id")) for c in id_cols])
-    counts = df.select(F.inline(pairs)).where("id is not null").groupBy("name", "id").count()
-    found = {r["name"]: r["most"] for r in counts.groupBy("name").agg(F.max("count").alias("most")).collect()}
-    return {c: found.get(c, 0) for c in id_cols}
 
-
-def _measures(id_col: str, w: int, count: Column, total: Column, money_scale: int | None) -> dict[str, Column]:
-    total = total.cast("double")
-    if money_scale is not None:
-        total = total / F.lit(float(10**money_scale))
+def _measures(id_col: str, w: int, count: Column, total: Column, money_scale: int) -> dict[str, Column]:
+    total = total.cast("double") / F.lit(float(10**money_scale))
     average = F.when(count > 0, total / count).otherwise(F.lit(0.0))
     return dict(zip(feature_names(id_col, [w]), (count.cast("long"), total, average)))
 
 
-def _by_frames(df: DataFrame, id_col: str, windows: Sequence[int], money_scale: int | None) -> DataFrame:
+def _by_frames(df: DataFrame, id_col: str, windows: Sequence[int], money_scale: int) -> DataFrame:
     """Range frames over ``__when`` and ``__amount``; rows without an id are spread by their time."""
     known = F.col(id_col).isNotNull() & F.col("__when").isNotNull()
     spread = F.when(~known, F.pmod(F.xxhash64("__when", "__amount"), F.lit(4_096)))
@@ -72,9 +65,7 @@ def _by_frames(df: DataFrame, id_col: str, windows: Sequence[int], money_scale:
     return df.withColumns(measures)
 
 
-def _history(
-    df: DataFrame, id_col: str, windows: Sequence[int], money_scale: int | None, chunk_minutes: int
-) -> DataFrame:
+def _history(df: DataFrame, windows: Sequence[int], money_scale: int, chunk_minutes: int) -> DataFrame:
     """(id, instant) with the measures of every window."""
     chunk = chunk_minutes * 60_000_000
     if DAY_MICROS % chunk:
@@ -117,13 +108,10 @@ def _history(
     by_chunk = Window.partitionBy("__id").orderBy("chunk")
 
     def between(measure: str, w: int) -> Column:
-        if measure == "n" or money_scale is not None:
-            # Whole numbers: the difference of two running sums is exact and takes one step per chunk.
-            upto = F.sum(measure).over(by_chunk.rangeBetween(Window.unboundedPreceding, -1))
-            gone = F.sum(measure).over(by_chunk.rangeBetween(Window.unboundedPreceding, -w * per_day))
-            return upto - F.coalesce(gone, F.lit(0))
-        # Doubles would lose digits in a difference: add up the chunks of the frame.
-        return F.sum(measure).over(by_chunk.rangeBetween(1 - w * per_day, -1))
+        # Whole numbers: the difference of two running sums is exact and takes one step per chunk.
+        upto = F.sum(measure).over(by_chunk.rangeBetween(Window.unboundedPreceding, -1))
+        gone = F.sum(measure).over(by_chunk.rangeBetween(Window.unboundedPreceding, -w * per_day))
+        return upto - F.coalesce(gone, F.lit(0))
 
     middle = totals.select(
         "__id", "chunk", *[between(m, w).alias(f"mid_{m}_{w}") for w in windows for m in ("n", "s")]
@@ -132,8 +120,7 @@ def _history(
 
     def frame(measure: str, w: int):
         parts = (f"head_{measure}", f"mid_{measure}_{w}", f"tail_{measure}_{w}")
-        zero = F.lit(0) if measure == "n" or money_scale is not None else F.lit(0.0)
-        first, *rest = [F.coalesce(F.col(p), zero) for p in parts]
+        first, *rest = [F.coalesce(F.col(p), F.lit(0)) for p in parts]
         for part in rest:
             first = first + part
         return first
@@ -154,17 +141,19 @@ def add_velocity(
     money_scale: int | None = None,
     chunk_minutes: int = 60,
     history: DataFrame | None = None,
-    frame_rows: int = FRAME_ROWS,
+    frame_rows: int = 0,
 ) -> DataFrame:
     """Add count, total and mean of earlier amounts per id column and window.
 
     Rows with a null id or time get zeros. Without the time column nothing is added; without the
     amount column amounts are 0.0; id columns that are absent are left out, and when all of them
-    are absent their features are 0. ``money_scale`` sums amounts as whole units of that many
-    decimals, which makes totals independent of the order of the rows. ``history`` holds earlier
-    transactions that count but do not come out. ``frame_rows`` is the most rows per id for which
-    plain range frames are used.
+    are absent their features are 0. Amounts are summed as whole units of ``money_scale`` decimals
+    (``MONEY_SCALE`` by default), which makes totals independent of the order of the rows. ``history``
+    holds earlier transactions that count but do not come out. ``frame_rows`` above 0 is the
+    caller's word that no id has more rows than a task can sort: plain range frames are used then,
+    with the same results. Nothing is ever chosen by looking at the data.
     """
+    money_scale = MONEY_SCALE if money_scale is None else money_scale
     if time_col not in df.columns:
         log.error("no time column %s; velocity features are not added", time_col)
         return df
@@ -189,34 +178,47 @@ def add_velocity(
         kinds = {f.name: f.dataType for f in frame.schema.fields}
         when = coerce.timestamp_or_null(F.col(time_col), kinds[time_col]).cast("timestamp")
         amount = coerce.number_or_zero(F.col(amount_col), kinds[amount_col])
-        if money_scale is not None:
-            amount = F.round(amount * F.lit(float(10**money_scale))).cast("long")
+        amount = F.round(amount * F.lit(float(10**money_scale))).cast("long")
         return frame.withColumns({"__when": F.unix_micros(when), "__amount": amount})
 
-    def activity(frame: DataFrame, id_col: str) -> DataFrame:
-        return timed(frame).select(
-            F.col(id_col).cast(types[id_col]).alias("__id"), F.col("__when").alias("__at"), "__amount"
-        ).where("__id is not null and __at is not null")
-
-    # History rows count but do not come out, which only the chunked way handles.
-    most = busiest(df, present) if history is None else dict.fromkeys(present, frame_rows + 1)
-    # The instant is the join key back to the rows.
-    out = timed(df)
-    for id_col in present:
-        if most[id_col] <= frame_rows:
+    if frame_rows > 0 and history is None:
+        out = timed(df)
+        for id_col in present:
             out = _by_frames(out, id_col, windows, money_scale)
-            continue
-        rows = activity(df, id_col)
-        if history is not None:
-            rows = rows.unionByName(activity(history, id_col))
-        features = _history(rows, id_col, windows, money_scale, chunk_minutes)
-        names = feature_names(id_col, windows)
-        features = features.withColumnsRenamed({f[len(id_col):]: f for f in names}).withColumnsRenamed(
-            {"__id": "__key", "__at": "__key_at"}
-        )
-        # (id, instant) spreads one busy id over the cluster.
-        same = (F.col(id_col) == F.col("__key")) & (F.col("__when") == F.col("__key_at"))
-        zero = {n: (F.lit(0).cast("long") if "_transactions_last_" in n else F.lit(0.0)) for n in names}
-        out = out.join(features, same, "left").drop("__key", "__key_at")
-        out = out.withColumns({n: F.coalesce(F.col(n), zero[n]) for n in names})
-    return out.drop("__when", "__amount")
+        return out.drop("__when", "__amount")
+
+    def key_of(place: int) -> Column:
+        """An id as text, with its column's place before it; just the place for a null."""
+        return F.concat(F.lit(f"{place}:"), F.coalesce(F.col(present[place]).cast(types[present[place]]).cast("string"), F.lit("")))
+
+    def known(place: int) -> Column:
+        return F.col(present[place]).cast(types[present[place]]).isNotNull()
+
+    def activity(frame: DataFrame) -> DataFrame:
+        pairs = F.array(*[F.struct(F.when(known(i), key_of(i)).alias("__id")) for i in range(len(present))])
+        return timed(frame).where("__when is not null").select(
+            F.col("__when").alias("__at"), "__amount", F.inline(pairs)
+        ).where("__id is not null")
+
+    rows = activity(df)
+    if history is not None:
+        rows = rows.unionByName(activity(history))
+    features = _history(rows, windows, money_scale, chunk_minutes)
+
+    # Rows with the same ids and instant share their measures: each combination is looked up once.
+    keys = [f"__key_{i}" for i in range(len(present))]
+    out = timed(df).withColumns({k: F.when(known(i), key_of(i)).otherwise(F.lit(f"{i}")) for i, k in enumerate(keys)})
+    combined = out.where("__when is not null").select("__when", *keys).distinct()
+    pairs = F.array(*[F.struct(F.lit(i).alias("__place"), F.col(k).alias("__id")) for i, k in enumerate(keys)])
+    looked = combined.select("__when", *keys, F.col("__when").alias("__at"), F.inline(pairs)).join(features, ["__id", "__at"])
+    names = [n for c in present for n in feature_names(c, windows)]
+    wide = looked.groupBy("__when", *keys).agg(
+        *[
+            F.max(F.when(F.col("__place") == i, F.col(f))).alias(n)
+            for i, c in enumerate(present)
+            for f, n in zip(feature_names("", windows), feature_names(c, windows))
+        ]
+    )
+    zero = {n: (F.lit(0).cast("long") if "_transactions_last_" in n else F.lit(0.0)) for n in names}
+    out = out.join(wide, ["__when", *keys], "left")
+    return out.select(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns], *[F.coalesce(F.col(n), zero[n]).alias(n) for n in names])
