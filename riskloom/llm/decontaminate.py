@@ -376,4 +376,7 @@ def without_contaminated(df: DataFrame, items: DataFrame, window: int = 10) -> D
     numbered_rows = written_once(df.select(F.struct("*").alias("columns"), F.monotonically_increasing_id().alias("row")), "rows")
     texts = numbered_rows.select("row", F.col("columns.text").alias("text"))
     bad = document_hits(texts, items, window, key_col="row").where("contaminated").select(F.col("doc_id").alias("row"))
+    # Written first, so that Spark knows their size: a few are broadcast under its own limit and the texts
+    # stay where they are; many are joined by a shuffle.
+    bad = written_once(bad, "contaminated")
     return numbered_rows.join(bad, "row", "left_anti").select("columns.*")
