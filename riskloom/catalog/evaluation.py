@@ -164,7 +164,7 @@ def compare_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- samples and splits --------------------------------------------------------------------
 
 CARD_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-_CARD_HASH = f"md5(concat_ws('|', '42', {', '.join(f'CAST({k} AS VARCHAR)' for k in CARD_KEYS)}))"
+CARD_HASH = f"md5(concat_ws('|', '42', {', '.join(f'CAST({k} AS VARCHAR)' for k in CARD_KEYS)}))"
 
 
 @register(
@@ -177,23 +177,28 @@ def first_per_class(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "seeded_sample",
-    with_views(["card"], f"SELECT * FROM card ORDER BY {_CARD_HASH} LIMIT 500"),
+    with_views(["card"], f"SELECT * FROM card ORDER BY {CARD_HASH} LIMIT 500"),
 )
 def seeded_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.seeded_sample(view(spark, sf_dir, "card"), CARD_KEYS, 500)
 
 
+def split_ctes(rows: str, label: str, digest: str) -> str:
+    """CTEs ending in ``split``: ``rows`` with ``is_test``, by the rule of the exact stratified split."""
+    return f"""sizes AS (SELECT {label}, count(*) AS n FROM {rows} GROUP BY {label}),
+total AS (SELECT sum(n) AS n, CAST(ceil(sum(n) * 0.2E0) AS BIGINT) AS test FROM sizes),
+shares AS (SELECT {label}, floor(test * sizes.n / total.n) AS base, test * sizes.n / total.n AS exact, test FROM sizes, total),
+wanted AS (SELECT {label}, base + CASE WHEN row_number() OVER (ORDER BY base - exact, {label}) <= test - sum(base) OVER ()
+  THEN 1 ELSE 0 END AS k FROM shares),
+placed AS (SELECT *, row_number() OVER (PARTITION BY {label} ORDER BY {digest}) AS place FROM {rows}),
+split AS (SELECT placed.*, place <= k AS is_test FROM placed JOIN wanted USING ({label}))"""
+
+
 @register(
     "stratified_split",
     with_views(
         ["card"],
-        f"""WITH sizes AS (SELECT Class, count(*) AS n FROM card GROUP BY Class),
-total AS (SELECT sum(n) AS n, CAST(ceil(sum(n) * 0.2E0) AS BIGINT) AS test FROM sizes),
-shares AS (SELECT Class, floor(test * sizes.n / total.n) AS base, test * sizes.n / total.n AS exact, test FROM sizes, total),
-wanted AS (SELECT Class, base + CASE WHEN row_number() OVER (ORDER BY base - exact, Class) <= test - sum(base) OVER ()
-  THEN 1 ELSE 0 END AS k FROM shares),
-placed AS (SELECT {', '.join(CARD_KEYS)}, Class, row_number() OVER (PARTITION BY Class ORDER BY {_CARD_HASH}) AS place FROM card)
-SELECT {', '.join(CARD_KEYS)}, Class, place <= k AS is_test FROM placed JOIN wanted USING (Class)""",
+        f"WITH {split_ctes('card', 'Class', CARD_HASH)} SELECT {', '.join(CARD_KEYS)}, Class, is_test FROM split",
     ),
 )
 def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -151,6 +151,34 @@ def coerce_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _micros(df, "purchase_time")
 
 
+# Layouts that text tables bring, with what each keeps of the time.
+TIME_LAYOUTS = (
+    ("yyyy-MM-dd HH:mm:ss", "second"), ("M/d/yyyy H:mm", "minute"), ("d-MMM-yyyy", "day"), ("yyyy/MM/dd HH:mm:ss", "second"),
+    ("M/d/yyyy h:mm:ss a", "second"), ("yyyyMMdd", "day"), ("d.M.yyyy H:mm", "minute"),
+)
+
+
+@register(
+    "coerce_times_mixed",
+    with_views(
+        ["txn"],
+        f"""SELECT txn_id, epoch_us(CASE txn_id % {len(TIME_LAYOUTS)}
+  {' '.join(f"WHEN {i} THEN date_trunc('{kept}', purchase_time)" for i, (_, kept) in enumerate(TIME_LAYOUTS))} END) AS purchase_time FROM txn""",
+    ),
+)
+def coerce_times_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Timestamps written in different layouts in one column."""
+    txn = view(spark, sf_dir, "txn")
+    text = F.coalesce(
+        *[
+            F.when(F.col("txn_id") % len(TIME_LAYOUTS) == i, F.date_format("purchase_time", layout))
+            for i, (layout, _) in enumerate(TIME_LAYOUTS)
+        ]
+    )
+    df = clean.correct_types(txn.select("txn_id", text.alias("purchase_time")), ["purchase_time"], [])
+    return _micros(df, "purchase_time")
+
+
 @register(
     "ensure_numeric",
     with_views(
@@ -299,6 +327,16 @@ def ip_country_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geo.locate_addresses(txn, view(spark, sf_dir, "ip_country")).select("txn_id", "country")
 
 
+@register("ip_country_numeric", with_views(["txn", "ip_country"], f"WITH {SQL_GEO} SELECT txn_id, country FROM geo"))
+def ip_country_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses that come as numbers, bounds as dotted text."""
+    number = ip_to_int(F.col("ip_address")).cast("double").cast("string")
+    txn = view(spark, sf_dir, "txn").select("txn_id", number.alias("ip_address"))
+    ranges = view(spark, sf_dir, "ip_country")
+    found = geo.locate_addresses(txn, ranges, encoding="numeric", range_encoding="dotted")
+    return found.select("txn_id", "country")
+
+
 @register(
     "ip_country_shuffled", with_views(["txn", "ip_country"], f"WITH {SQL_GEO} SELECT txn_id, country FROM geo")
 )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,10 +30,25 @@ def number_or_zero(column: Column, data_type: T.DataType) -> Column:
     return F.coalesce(number_or_null(column, data_type), F.lit(0.0))
 
 
-def timestamp_or_null(column: Column, data_type: T.DataType) -> Column:
+# Layouts tried in turn, after ISO text. Month before day where both could be meant.
+TIME_FORMATS = (
+    "M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy h:mm:ss a", "M/d/yyyy h:mm a", "M/d/yyyy",
+    "yyyy/M/d H:mm:ss", "yyyy/M/d H:mm", "yyyy/M/d",
+    "d-MMM-yyyy H:mm:ss", "d-MMM-yyyy H:mm", "d-MMM-yyyy", "d MMM yyyy H:mm:ss", "d MMM yyyy", "MMM d, yyyy",
+    "d.M.yyyy H:mm:ss", "d.M.yyyy H:mm", "d.M.yyyy", "yyyyMMdd HHmmss", "yyyyMMdd",
+)
+
+
+def timestamp_or_null(column: Column, data_type: T.DataType, formats: Sequence[str] = TIME_FORMATS) -> Column:
+    """Timestamp of a column; text is read as ISO first, then by the first of ``formats`` that fits."""
     if isinstance(data_type, T.TimestampType):
         return column
-    return column.try_cast("timestamp")
+    if not isinstance(data_type, T.StringType):
+        return column.try_cast("timestamp")
+    text = F.trim(column)
+    # Eight digits alone would be read as a year by the cast.
+    plain = F.when(~text.rlike(r"^\d{5,}"), text).try_cast("timestamp")
+    return F.coalesce(plain, *[F.try_to_timestamp(text, F.lit(f)) for f in formats])
 
 
 def timestamp_or_epoch(column: Column, data_type: T.DataType) -> Column:

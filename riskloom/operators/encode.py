@@ -16,9 +16,6 @@ from riskloom.functions import coerce
 from riskloom.operators import modes
 from riskloom.operators.quantiles import exact_quantiles
 
-# One column per category: more than this is taken for a mistake and refused.
-MAX_CATEGORIES = 1_000
-
 
 def quoted(name: str) -> Column:
     """Column by its whole name, dots included."""
@@ -79,7 +76,7 @@ class _EncoderOptions(Params):
     numberStrategy = Param(Params._dummy(), "numberStrategy", "fill for missing numbers")
     categoryStrategy = Param(Params._dummy(), "categoryStrategy", "fill for missing categories")
     remainder = Param(Params._dummy(), "remainder", "'passthrough' or 'drop' all other columns")
-    maxCategories = Param(Params._dummy(), "maxCategories", "most categories of one column")
+    maxCategories = Param(Params._dummy(), "maxCategories", "most categories of one column; None: any number")
 
 
 class FeatureEncoder(Estimator, _EncoderOptions, DefaultParamsReadable, DefaultParamsWritable):
@@ -95,13 +92,13 @@ class FeatureEncoder(Estimator, _EncoderOptions, DefaultParamsReadable, DefaultP
         numberStrategy: str = "median",
         categoryStrategy: str = "most_frequent",
         remainder: str = "passthrough",
-        maxCategories: int = MAX_CATEGORIES,
+        maxCategories: int | None = None,
     ):
         super().__init__()
-        self._set(**{name: list(v) if isinstance(v, (list, tuple)) else v for name, v in self._input_kwargs.items()})
+        self._set(**{n: list(v) if isinstance(v, (list, tuple)) else v for n, v in self._input_kwargs.items() if v is not None})
         for name, value in (
             ("numbers", []), ("categories", []), ("keep", []), ("numberStrategy", "median"),
-            ("categoryStrategy", "most_frequent"), ("remainder", "passthrough"), ("maxCategories", MAX_CATEGORIES),
+            ("categoryStrategy", "most_frequent"), ("remainder", "passthrough"), ("maxCategories", None),
         ):
             self._setDefault(**{name: value})
 

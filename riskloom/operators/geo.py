@@ -107,11 +107,13 @@ def locate_addresses(
     out: str = COUNTRY,
     encoding: str = "dotted",
     broadcast_ranges: int = BROADCAST_RANGES,
+    range_encoding: str | None = None,
 ) -> DataFrame:
     """Add the country of each row's address, ``Unknown`` where no range holds it.
 
     Every input row comes out once. A null address is ``Unknown``; an unreadable one counts as
-    0.0.0.0. An existing ``country`` column is replaced. When a needed column is missing or the
+    0.0.0.0. ``encoding`` says how addresses are written, ``range_encoding`` the same of the bounds
+    where it differs. An existing ``country`` column is replaced. When a needed column is missing or the
     range table is empty the input is returned as it is.
     """
     if ip_col not in df.columns or not {LOWER, UPPER, COUNTRY} <= set(ranges.columns):
@@ -124,7 +126,7 @@ def locate_addresses(
         log.warning("the range table is empty; rows are not located")
         return df
     small = n_ranges <= broadcast_ranges
-    pieces = _pieces(disjoint_ranges(ranges, encoding, small))
+    pieces = _pieces(disjoint_ranges(ranges, range_encoding or encoding, small))
     kept = [c for c in df.columns if c != out]
     numbered = df.select(*kept, ip_to_int(F.col(ip_col), encoding).alias("__ip"))
     if small:
@@ -133,7 +135,7 @@ def locate_addresses(
     # lookup has one row per address, so AQE can split the rows of a very common address.
     distinct = numbered.select("__ip").where("__ip is not null").distinct()
     located = _match(distinct, "__ip", pieces, False, out)
-    return (
-        numbered.join(located, "__ip", "left")
-        .select(*kept, F.coalesce(out, F.lit(UNKNOWN)).alias(out))
-    )
+    # Rows without an address stay out of the join, where they would all meet in one partition.
+    unknown = numbered.where("__ip is null").select(*kept, F.lit(UNKNOWN).alias(out))
+    known = numbered.where("__ip is not null").join(located, "__ip", "left")
+    return known.select(*kept, F.coalesce(out, F.lit(UNKNOWN)).alias(out)).unionByName(unknown)

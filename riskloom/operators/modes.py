@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.session import written_once
+
 
 def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Long table (feature, value, n) of non-null values, as text."""
@@ -32,20 +34,24 @@ def most_frequent(df: DataFrame, columns: Sequence[str]) -> dict[str, str | None
 
 
 def category_lists(
-    df: DataFrame, columns: Sequence[str], max_categories: int
+    df: DataFrame, columns: Sequence[str], max_categories: int | None = None
 ) -> tuple[dict[str, list[str]], dict[str, str | None]]:
     """Sorted distinct values and the most frequent value of each column.
 
-    Fails when a column has more than ``max_categories`` values.
+    Every value becomes a column of its own, so the lists are as long as the result is wide. A
+    caller may set ``max_categories`` to be told of a wider column instead.
     """
     counts = category_counts(df, columns)
-    best = F.min(F.struct((-F.col("n")).alias("rank"), "value")).getField("value")
-    sizes = counts.groupBy("feature").agg(F.count("*").alias("values"), best.alias("most")).collect()
-    wide = {r["feature"]: r["values"] for r in sizes if r["values"] > max_categories}
-    if wide:
-        raise ValueError(f"too many categories for one column each: {wide}; raise max_categories if intended")
+    if max_categories is not None:
+        counts = written_once(counts, "categories")
+        wide = {r["feature"]: r["count"] for r in counts.groupBy("feature").count().collect() if r["count"] > max_categories}
+        if wide:
+            raise ValueError(f"too many categories for one column each: {wide}; raise max_categories if intended")
     found: dict[str, list[str]] = {c: [] for c in columns}
-    for row in counts.select("feature", "value").collect():
+    best: dict[str, tuple[int, str]] = {}
+    for row in counts.select("feature", "value", "n").collect():
         found[row["feature"]].append(row["value"])
-    most = {r["feature"]: r["most"] for r in sizes}
+        rank = (-row["n"], row["value"])
+        best[row["feature"]] = min(best.get(row["feature"], rank), rank)
+    most = {c: rank[1] for c, rank in best.items()}
     return {c: sorted(v) for c, v in found.items()}, {c: most.get(c) for c in columns}

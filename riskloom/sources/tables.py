@@ -64,14 +64,21 @@ def write_features(df: DataFrame, path: str, fmt: str = "parquet", partition_by:
         writer.format(fmt).save(path)
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+
+
 def read_or_build(
     spark: SparkSession, path: str, build: Callable[[], DataFrame], rebuild: bool = False
 ) -> DataFrame:
-    """Use the table at ``path`` when it is complete, else build it, write it and read it back."""
+    """Use the table at ``path`` when it is complete, else build it, write it and read it back.
+
+    A table is complete when its success marker is there, which a writer leaves last.
+    """
     if not rebuild:
-        try:
+        if is_complete(spark, path):
             return spark.read.parquet(path)
-        except AnalysisException:
-            log.info("no table at %s, building it", path)
+        log.info("no complete table at %s, building it", path)
     write_features(build(), path)
     return spark.read.parquet(path)

@@ -53,6 +53,14 @@ def test_too_many_categories_are_refused(spark):
         FeatureEncoder(categories=["s"], maxCategories=10).fit(df)
 
 
+def test_any_number_of_categories_is_encoded(spark):
+    df = spark.range(1500).selectExpr("concat('v', cast(id as string)) as s", "id")
+    model = FeatureEncoder(categories=["s"], keep=["id"]).fit(df)
+    assert len(model.feature_names()) == 1500
+    row = model.transform(df.where("id = 7")).first()
+    assert row["s_v7"] == 1.0 and row["s_v8"] == 0.0
+
+
 def test_numeric_categories_in_numeric_order(spark):
     df = spark.createDataFrame([(10.0,), (9.0,), (0.0,)], "s double")
     model = FeatureEncoder(categories=["s"]).fit(df)
