@@ -75,7 +75,8 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
+        # A local cluster's executors have folders of their own.
+        if context.master.split("[")[0] != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         folder = tempfile.mkdtemp(prefix="riskloom-")
         context.setCheckpointDir(folder)
