@@ -232,11 +232,12 @@ def with_starts(manifest: DataFrame) -> DataFrame:
 
 def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
     """Every document of the shards: key, start, n_tokens, ids_crc32 — read back through the index."""
-    names = manifest.select("shard", "docs").repartition(shuffle_partitions(spark))
+    # Each shard's start goes to its task with its name, so the documents need no join.
+    names = with_starts(manifest).repartition(shuffle_partitions(spark))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name in batch.column("shard").to_pylist():
+            for name, shard_start in zip(batch.column("shard").to_pylist(), batch.column("shard_start").to_pylist()):
                 shard = Shard(fetch(f"{folder}/{name}"))
                 real = np.flatnonzero(~shard.nulls)
                 found = shard.find(shard.keys[real])
@@ -248,18 +249,14 @@ def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame) -> D
                 crcs = [zlib.crc32(shard.ids_of(i).astype("<u4").tobytes()) for i in range(len(lengths))]
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "shard": [name] * len(lengths),
                         "key": pa.array(shard.keys, mask=shard.nulls),
-                        "local_start": shard.offsets[:-1],
+                        "start": shard.offsets[:-1] + shard_start,
                         "n_tokens": lengths,
                         "ids_crc32": np.array(crcs, dtype=np.int64),
                     }
                 )
 
-    read = names.mapInArrow(work, "shard string, key long, local_start long, n_tokens long, ids_crc32 long")
-    return read.join(with_starts(manifest), "shard").select(
-        "key", (F.col("shard_start") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32"
-    )
+    return names.mapInArrow(work, "key long, start long, n_tokens long, ids_crc32 long")
 
 
 #: Shards whose key ranges are sent to the tasks of a lookup.
