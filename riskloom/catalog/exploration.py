@@ -20,17 +20,13 @@ TXN_TYPES = {
 CARD = ["V1", "V2", "V3", "V4", "V5", "Amount", "Time"]
 
 
-# Means of cents can lie exactly between two rounded values, where the order of the sum decides;
-# both engines shift them by this much before rounding.
-SHIFT = 0.0000137
+# Decimals up to which means are exact, so that both engines agree to the last digit.
+MEAN_SCALE = 6
 
 
-def rounded_mean(column: str) -> Column:
-    return F.round(F.col(column) + F.lit(SHIFT), 4).alias(column)
-
-
-def sql_rounded_mean(expression: str) -> str:
-    return f"round({expression} + {SHIFT:.7f}::DOUBLE, 4)"
+def sql_mean(column: str, scale: int = MEAN_SCALE) -> str:
+    units = f"sum(CAST(round({column} * 1E{scale}) AS HUGEINT))"
+    return f"CAST({units} AS DOUBLE) / 1E{scale} / count({column})"
 
 
 def union(parts: list[str]) -> str:
@@ -86,7 +82,7 @@ def missing_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
         ["card"],
         union(
             [
-                f"SELECT '{c}' AS feature, count({c}) AS count, {sql_rounded_mean(f'avg({c})')} AS mean, "
+                f"SELECT '{c}' AS feature, count({c}) AS count, {sql_mean(c)} AS mean, "
                 f"round(stddev_samp({c}), {DIGITS}) AS std, min({c}) AS min, quantile_cont({c}, 0.25) AS q25, "
                 f"quantile_cont({c}, 0.5) AS q50, quantile_cont({c}, 0.75) AS q75, max({c}) AS max FROM card"
                 for c in CARD
@@ -95,8 +91,7 @@ def missing_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def describe_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = rounded(explore.describe_numeric(view(spark, sf_dir, "card"), [*CARD, "absent"]), "std")
-    return table.withColumn("mean", rounded_mean("mean"))
+    return rounded(explore.describe_numeric(view(spark, sf_dir, "card"), [*CARD, "absent"], MEAN_SCALE), "std")
 
 
 @register(
@@ -285,18 +280,14 @@ def crosstab(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "monthly_trend",
-    f"SELECT strftime(date_trunc('month', o_orderdate), '%Y-%m') AS month, {sql_rounded_mean('avg(o_totalprice)')} AS o_totalprice, "
-    f"{sql_rounded_mean('avg(o_custkey)')} AS o_custkey FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1",
+    f"SELECT strftime(date_trunc('month', o_orderdate), '%Y-%m') AS month, {sql_mean('o_totalprice', 2)} AS o_totalprice, "
+    f"{sql_mean('o_custkey', 2)} AS o_custkey FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1",
 )
 def monthly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     trend = explore.monthly_trend(
-        view(spark, sf_dir, "orders"), "o_orderdate", ["o_totalprice", "o_custkey", "o_orderstatus"]
-    )
-    return trend.select(
-        F.date_format("YearMonth", "yyyy-MM").alias("month"),
-        rounded_mean("o_totalprice"),
-        rounded_mean("o_custkey"),
+        view(spark, sf_dir, "orders"), "o_orderdate", ["o_totalprice", "o_custkey", "o_orderstatus"], 2
     )
+    return trend.select(F.date_format("YearMonth", "yyyy-MM").alias("month"), "o_totalprice", "o_custkey")
 
 
 def _sql_pairs(columns: list[str], bins: int) -> str:

@@ -106,8 +106,22 @@ def missing_blocks(df: DataFrame, key: str, block_rows: int) -> DataFrame:
 # --- one column ----------------------------------------------------------------------------
 
 
-def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Count, mean, sample deviation, extremes and exact quartiles of each numeric column."""
+def _mean(value: Column, scale: int | None) -> Column:
+    """Mean of a column; with ``scale`` of its values in whole units of that many decimals, whose exact sum
+    does not depend on the order of the rows. Where a value does not fit, the plain mean is taken."""
+    plain = F.avg(value)
+    if scale is None:
+        return plain
+    units = F.round(value * F.lit(10.0**scale)).try_cast("decimal(28,0)")
+    exact = F.try_divide(F.sum(units).cast("double") / F.lit(10.0**scale), F.count(value))
+    return F.when(F.count(units) == F.count(value), exact).otherwise(plain)
+
+
+def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None, mean_scale: int | None = None) -> DataFrame:
+    """Count, mean, sample deviation, extremes and exact quartiles of each numeric column.
+
+    With ``mean_scale`` means are exact over values of that many decimals.
+    """
     names = numeric_columns(df, columns)
     quartiles = exact_quantiles(df, names, [0.25, 0.5, 0.75])
     stats = df.agg(
@@ -115,7 +129,7 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
             F.struct(
                 F.lit(c).alias("feature"),
                 F.count(_number(df, c)).alias("count"),
-                F.avg(_number(df, c)).alias("mean"),
+                _mean(_number(df, c), mean_scale).alias("mean"),
                 F.stddev_samp(_number(df, c)).alias("std"),
                 F.min(_number(df, c)).alias("min"),
                 *[F.lit(quartiles[c][p]).cast("double").alias(n) for p, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))],
@@ -431,8 +445,9 @@ def scatter_sample(df: DataFrame, first: str, second: str, keys: Sequence[str],
 def pair_bins(df: DataFrame, columns: Sequence[str] | None = None, bins: int = BINS) -> DataFrame:
     """Grid counts of every pair of numeric columns over complete rows.
 
-    The diagonal (a column with itself) holds its histogram, with equal bins on both axes. The
-    result has at most ``bins * bins`` rows per pair, and that is also what each task shuffles.
+    The diagonal (a column with itself) holds its histogram, with equal bins on both axes. Each
+    task adds up grids of fixed size, so a row is never copied per pair, and at most ``bins * bins``
+    numbers per pair and task are shuffled.
     """
     names = numeric_columns(df, columns)
     complete = df.select(*[_number(df, c).alias(c) for c in names]).na.drop()
@@ -442,22 +457,39 @@ def pair_bins(df: DataFrame, columns: Sequence[str] | None = None, bins: int = B
             [], "feature_x string, feature_y string, bin_x int, bin_y int, n long"
         )
     placed = complete.select(*[bin_of(F.col(c), *extent[c], bins).alias(f"b{i}") for i, c in enumerate(names)])
-    cells = F.array(
-        *[
-            F.struct(F.lit(names[i]).alias("feature_x"), F.lit(names[j]).alias("feature_y"),
-                     F.col(f"b{i}").alias("bin_x"), F.col(f"b{j}").alias("bin_y"))
-            for i, j in itertools.combinations_with_replacement(range(len(names)), 2)
-        ]
+    pairs = list(itertools.combinations_with_replacement(range(len(names)), 2))
+    size = bins * bins
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((len(pairs), size), dtype=np.int64)
+        for batch in batches:
+            at = [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns]
+            for p, (i, j) in enumerate(pairs):
+                counts[p] += np.bincount(at[i] * bins + at[j], minlength=size)
+        pair, cell = np.nonzero(counts)
+        yield pa.RecordBatch.from_pydict(
+            {"pair": pair.astype(np.int32), "cell": cell.astype(np.int32), "n": counts[pair, cell]}
+        )
+
+    summed = placed.mapInArrow(add_up, "pair int, cell int, n long").groupBy("pair", "cell").agg(F.sum("n").alias("n"))
+    xs, ys = (F.array(*[F.lit(names[pair[side]]) for pair in pairs]) for side in (0, 1))
+    return summed.select(
+        F.get(xs, F.col("pair")).alias("feature_x"),
+        F.get(ys, F.col("pair")).alias("feature_y"),
+        F.floor(F.col("cell") / bins).cast("int").alias("bin_x"),
+        (F.col("cell") % bins).alias("bin_y"),
+        "n",
     )
-    counted = placed.select(F.inline(cells)).groupBy("feature_x", "feature_y", "bin_x", "bin_y")
-    return counted.agg(F.count(F.lit(1)).alias("n"))
 
 
 # --- time ----------------------------------------------------------------------------------
 
 
-def monthly_trend(df: DataFrame, time_col: str, metrics: Sequence[str]) -> DataFrame:
-    """Mean of each numeric metric per month, in order; rows without a readable time are left out."""
+def monthly_trend(df: DataFrame, time_col: str, metrics: Sequence[str], mean_scale: int | None = None) -> DataFrame:
+    """Mean of each numeric metric per month, in order; rows without a readable time are left out.
+
+    With ``mean_scale`` means are exact over values of that many decimals.
+    """
     usable = numeric_columns(df, metrics)
     for metric in set(metrics) - set(usable):
         log.warning("metric %s is missing or not numeric and is skipped", metric)
@@ -465,7 +497,7 @@ def monthly_trend(df: DataFrame, time_col: str, metrics: Sequence[str]) -> DataF
         raise ValueError("a time column and at least one numeric metric are needed")
     when = coerce.timestamp_or_null(F.col(time_col), df.schema[time_col].dataType).cast("timestamp")
     months = df.withColumn("YearMonth", month_start(when)).where("YearMonth is not null").groupBy("YearMonth")
-    return months.agg(*[F.avg(_number(df, m)).alias(m) for m in usable]).orderBy("YearMonth")
+    return months.agg(*[_mean(_number(df, m), mean_scale).alias(m) for m in usable]).orderBy("YearMonth")
 
 
 # --- choosing an analysis by name ----------------------------------------------------------
