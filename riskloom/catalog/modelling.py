@@ -13,9 +13,9 @@ from riskloom.catalog import register
 from riskloom.catalog.evaluation import CARD_HASH, CARD_KEYS, split_ctes
 from riskloom.catalog.features import CENTS
 from riskloom.catalog.preparation import rounded
-from riskloom.catalog.resampling import CARD_KEY, FEATURES, card_with_key
+from riskloom.catalog.resampling import CARD_KEY, FEATURES, card_with_key, sql_word
 from riskloom.fixtures import view, with_views
-from riskloom.operators import explain, metrics, models, sampling
+from riskloom.operators import explain, models, sampling
 from riskloom.plans import engineer, interpret, prepare, score, train
 from riskloom.session import scratch_path, written_once
 from riskloom.sources import runs
@@ -71,26 +71,44 @@ for _kind in models.DEFAULTS:
         register(f"train_{_kind}_regressor", _rule_sql(_target))(_train(_kind, "regressor", _target))
 
 
-def _trained(spark: SparkSession, sf_dir: str, kinds: list[str]) -> tuple[str, DataFrame]:
-    card = keyed_card(spark, sf_dir)
-    preparation = prepare.card_preparation(CARD_NUMBERS, keep=["row_key", "Class"])
-    out_dir = scratch_path(spark, "models")
-    done = train.run_training(
-        card, preparation, "card", "Class", "row_key", out_dir, kinds
-    )
-    return out_dir, done
+def _served(
+    raw: DataFrame, out_dir: str, dataset: str, kinds: tuple[str, ...], key: str, ranges: DataFrame | None = None
+) -> DataFrame:
+    """Raw rows scored by every saved kind: (model, key, label)."""
+    out = None
+    for kind in kinds:
+        preparation, model = score.load_version(out_dir, dataset, kind)
+        scored = score.score_rows(raw, dataset, preparation, model, ranges, row_key=key)
+        scored = scored.select(F.lit(kind).alias("model"), key, F.col(score.LABEL).alias("label"))
+        out = scored if out is None else out.unionByName(scored)
+    return out
+
 
+_KINDS = ", ".join(f"('{kind}')" for kind in train.MODELS)
 
-@register("training_run")
+
+@register(
+    "training_run",
+    with_views(
+        ["card"],
+        f"""SELECT model, {ROW_KEY} AS row_key, CAST({RULES['steep']} AS INTEGER) AS label, 1.0E0 AS roc_auc, 1.0E0 AS accuracy
+FROM card, (VALUES {_KINDS}) m(model)""",
+    ),
+)
 def training_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Split, oversampling, three models, saved best; one row per model."""
-    _, done = _trained(spark, sf_dir, ["logistic", "boosted", "forest"])
-    return runs.compare_runs(done, list(metrics.BINARY_METRICS))
+    """Split, oversampling, the three models with their measures; every row as each saved model scores it."""
+    rows = keyed_card(spark, sf_dir).withColumn("Class", F.expr(RULES["steep"]).cast("int"))
+    preparation = prepare.card_preparation(CARD_NUMBERS, keep=["row_key", "Class"])
+    out_dir = scratch_path(spark, "models")
+    done = train.run_training(rows, preparation, "card", "Class", "row_key", out_dir)
+    table = runs.compare_runs(done, ["roc_auc", "accuracy"]).drop("dataset")
+    served = _served(rows.drop("Class"), out_dir, "card", train.MODELS, "row_key")
+    return served.join(F.broadcast(table), "model")
 
 
-def _ruled(spark: SparkSession, sf_dir: str, turned: bool = False) -> DataFrame:
-    """Card rows whose class follows the first rule, or its opposite."""
-    rule = F.expr(RULES["risky"])
+def _ruled(spark: SparkSession, sf_dir: str, turned: bool = False, rule: str = "risky") -> DataFrame:
+    """Card rows whose class follows a rule, or its opposite."""
+    rule = F.expr(RULES[rule])
     return keyed_card(spark, sf_dir).withColumn("Class", (~rule if turned else rule).cast("int"))
 
 
@@ -151,18 +169,30 @@ def versions_served(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-@register("ecommerce_score")
-def ecommerce_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E-commerce training with a tree, then scoring of the raw rows: counts per label."""
+# A class of one category: its one-hot column alone decides.
+SOURCE_RULE = "source = 'Ads'"
+
+
+def _train_ecommerce(spark: SparkSession, sf_dir: str, kinds: tuple[str, ...]) -> tuple[str, DataFrame, DataFrame]:
+    """E-commerce models on the class of a category: their folder, the raw rows and the address ranges."""
     ranges = view(spark, sf_dir, "ip_country")
-    rows = prepare.to_canonical(view(spark, sf_dir, "txn"), ranges)
+    raw = view(spark, sf_dir, "txn").withColumn("class", F.expr(SOURCE_RULE).cast("int"))
     preparation = prepare.ecommerce_preparation(keep=["txn_id", "class"], money_scale=CENTS)
     out_dir = scratch_path(spark, "models")
-    train.run_training(rows, preparation, "ecommerce", "class", "txn_id", out_dir, ["tree"])
-    fitted, model = score.load_best(out_dir, "ecommerce")
-    raw = view(spark, sf_dir, "txn").drop("class")
-    scored = score.score_rows(raw, "ecommerce", fitted, model, ranges, row_key="txn_id")
-    return scored.groupBy(score.LABEL).agg(F.count("*").alias("n"), F.avg(score.PROBABILITY).alias("mean_probability"))
+    train.run_training(prepare.to_canonical(raw, ranges), preparation, "ecommerce", "class", "txn_id", out_dir, kinds)
+    return out_dir, raw.drop("class"), ranges
+
+
+@register(
+    "ecommerce_score",
+    with_views(
+        ["txn"], f"SELECT model, txn_id, CAST({SOURCE_RULE} AS INTEGER) AS label FROM txn, (VALUES {_KINDS}) m(model)"
+    ),
+)
+def ecommerce_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E-commerce training of the three models, then every raw row as each of them scores it."""
+    out_dir, raw, ranges = _train_ecommerce(spark, sf_dir, train.MODELS)
+    return _served(raw, out_dir, "ecommerce", train.MODELS, "txn_id", ranges)
 
 
 # --- explanation ---------------------------------------------------------------------------
@@ -221,38 +251,91 @@ def top_contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explain.top_features(shapley_linear(spark, sf_dir), "row_key", 2)
 
 
+def _step_ctes(source: str, key: str, rule: str, instances: int) -> str:
+    """CTEs ending in ``gained`` (key, contribution, base): sampled Shapley values of a score that is a step of
+    one feature, for the first ``instances`` rows by hash, with the background rows drawn for each order."""
+    return f"""hashed AS (SELECT {key} AS k, CAST({rule} AS INTEGER) AS f, md5(concat_ws('|', '42', CAST({key} AS VARCHAR))) AS h FROM {source}),
+chosen AS (SELECT * FROM hashed ORDER BY h, k LIMIT {instances}),
+background AS (SELECT f, row_number() OVER (ORDER BY k) - 1 AS b
+  FROM (SELECT * FROM hashed ORDER BY h, k LIMIT {explain.BACKGROUND_ROWS})),
+orders AS (SELECT {sql_word("md5(concat_ws('|', '42', 'background', CAST(o AS VARCHAR)))", 0)}
+  % (SELECT count(*) FROM background) AS b FROM range({explain.ORDERS}) r(o)),
+gained AS (SELECT k, avg(c.f - z.f) AS contribution, avg(CAST(z.f AS DOUBLE)) AS base
+  FROM chosen c, orders JOIN background z USING (b) GROUP BY k)"""
+
+
 def _tree(spark: SparkSession, sf_dir: str):
-    rows = _labelled(spark, sf_dir)
+    """A tree that is a step of V4, and its rows."""
+    rows = _labelled(spark, sf_dir, "steep")
     trainer = models.ModelTrainer("tree")
-    return trainer.train(rows.where("not is_test"), FEATURES, "risky"), rows
+    return trainer.train(rows.where("not is_test"), FEATURES, "steep"), rows
 
 
-@register("shapley_sampled")
+@register(
+    "shapley_sampled",
+    with_views(
+        ["card"],
+        f"""WITH {_step_ctes('card', CARD_KEY, RULES['steep'], 50)}
+SELECT k AS row_key, feature, CASE feature WHEN 'V4' THEN contribution ELSE 0.0E0 END AS contribution, base
+FROM gained, (VALUES {', '.join(f"('{c}')" for c in FEATURES)}) n(feature)""",
+    ),
+)
 def shapley_sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sampled contributions of a tree for a sample of rows, as mean importance per feature."""
+    """Sampled contributions of a tree for a sample of rows."""
     model, rows = _tree(spark, sf_dir)
     instances = sampling.seeded_sample(rows, ["row_key"], 50)
-    values = explain.shapley_sampled(model, instances, rows, "row_key", FEATURES)
-    return explain.importance(values)
+    return explain.shapley_sampled(model, instances, rows, "row_key", FEATURES)
 
 
-@register("lime_local")
+@register(
+    "lime_local",
+    with_views(
+        ["card"],
+        f"""WITH cuts AS (SELECT unnest([quantile_cont(V4, 0.25), quantile_cont(V4, 0.5), quantile_cont(V4, 0.75)]) AS c FROM card),
+few AS (SELECT {CARD_KEY} AS row_key, V4 FROM card ORDER BY md5(concat('42|', {CARD_KEY})) LIMIT 5),
+ends AS (SELECT row_key, max(c) FILTER (c < V4) AS low, min(c) FILTER (c >= V4) AS high FROM few, cuts GROUP BY row_key)
+SELECT row_key, 'V4' AS feature, CASE WHEN low IS NULL THEN printf('V4 <= %.2f', high)
+  WHEN high IS NULL THEN printf('V4 > %.2f', low) ELSE printf('%.2f < V4 <= %.2f', low, high) END AS condition FROM ends""",
+    ),
+)
 def lime_local(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Local surrogates of a tree for a few rows."""
+    """Local surrogates of a tree for a few rows: the strongest feature of each and its condition."""
     model, rows = _tree(spark, sf_dir)
     instances = sampling.seeded_sample(rows, ["row_key"], 5)
-    return explain.local_surrogate(model, instances, rows, "row_key", FEATURES)
+    local = explain.local_surrogate(model, instances, rows, "row_key", FEATURES)
+    return explain.top_features(local, "row_key", 1, "weight").select("row_key", "feature", "condition")
+
+
+def _importance_sql(view_name: str, key: str, rule: str, feature: str) -> str:
+    return with_views(
+        [view_name],
+        f"""WITH {_step_ctes(view_name, key, rule, 100)}
+SELECT '{feature}' AS feature, round(avg(abs(contribution)), 9) AS mean_abs, min(contribution) AS lowest,
+  max(contribution) AS highest, count(*) AS n FROM gained""",
+    )
+
 
+def _that_matter(found: interpret.Interpretation) -> DataFrame:
+    """The features a step score uses; the others contribute exactly nothing."""
+    return found.importance.where("mean_abs > 0").withColumn("mean_abs", F.round("mean_abs", 9))
 
-@register("interpretation")
+
+@register("interpretation", _importance_sql("card", ROW_KEY, RULES["steep"], "V4"))
 def interpretation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Saved model and preparation applied to new rows and explained: importance per feature."""
-    out_dir, _ = _trained(spark, sf_dir, ["logistic"])
+    """Saved model and preparation applied to new rows and explained: the features that matter."""
+    out_dir = scratch_path(spark, "models")
+    rows = _ruled(spark, sf_dir, rule="steep")
+    _train_tree(rows, out_dir)
     preparation, model = score.load_best(out_dir, "card")
-    found = interpret.interpret(
-        keyed_card(spark, sf_dir), "card", "row_key", preparation, model, label="Class"
-    )
-    return found.importance
+    return _that_matter(interpret.interpret(rows, "card", "row_key", preparation, model, label="Class"))
+
+
+@register("ecommerce_interpretation", _importance_sql("txn", "txn_id", SOURCE_RULE, "source_Ads"))
+def ecommerce_interpretation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for e-commerce rows: addresses, velocity and one-hot columns included."""
+    out_dir, raw, ranges = _train_ecommerce(spark, sf_dir, ("tree",))
+    preparation, model = score.load_best(out_dir, "ecommerce")
+    return _that_matter(interpret.interpret(raw, "ecommerce", "txn_id", preparation, model, ranges))
 
 
 @register(

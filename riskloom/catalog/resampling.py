@@ -35,7 +35,7 @@ def nearest_in_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.withColumn("distance", F.round("distance", 9))
 
 
-def _sql_word(digest: str, index: int) -> str:
+def sql_word(digest: str, index: int) -> str:
     return f"CAST(concat('0x', substr({digest}, {1 + 8 * index}, 8)) AS BIGINT)"
 
 
@@ -46,7 +46,7 @@ need AS (SELECT (SELECT count(*) FROM card WHERE Class = 0) - count(*) AS need,
 base AS (SELECT few.*, need // m + CASE WHEN row_number() OVER (ORDER BY md5(concat('42-extra|', row_key))) <= need % m
   THEN 1 ELSE 0 END AS copies FROM few, need),
 drawn AS (SELECT b.row_key, CAST(copy AS INTEGER) AS copy, {', '.join(f'b.{c}' for c in FEATURES)},
-  {_sql_word(_DRAW, 0)} % 5 + 1 AS pick, {_sql_word(_DRAW, 1)} / 4294967296.0E0 AS u
+  {sql_word(_DRAW, 0)} % 5 + 1 AS pick, {sql_word(_DRAW, 1)} / 4294967296.0E0 AS u
   FROM base b, range(1, (SELECT max(copies) + 1 FROM base)) g(copy) WHERE copy <= b.copies),
 made AS (SELECT d.row_key, d.copy, CAST(1 AS INTEGER) AS Class,
   {', '.join(f'round(d.{c} + d.u * (o.{c} - d.{c}), 6) + 0.0E0 AS {c}' for c in FEATURES)}

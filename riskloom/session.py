@@ -6,6 +6,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -90,10 +92,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def drop_scratch(spark: SparkSession) -> int:
-    """Delete the scratch tables this process has written, once their results are no longer needed."""
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete on leaving the scratch tables written inside; only for work whose results do not read them."""
+    before = len(_scratch)
+    try:
+        yield
+    finally:
+        drop_scratch(spark, before)
+
+
+def drop_scratch(spark: SparkSession, keep: int = 0) -> int:
+    """Delete the scratch tables this process has written after the first ``keep``, once their results are no
+    longer needed."""
     dropped = 0
-    while _scratch:
+    while len(_scratch) > keep:
         path = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
         files = path.getFileSystem(spark._jsc.hadoopConfiguration())
         dropped += bool(files.delete(path, True))
