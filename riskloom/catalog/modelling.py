@@ -169,6 +169,21 @@ def versions_served(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+@register("training_reuse", with_views(["card"], f"SELECT {ROW_KEY} AS row_key, {_RISKY} AS label FROM card"))
+def training_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second training on the features the first one left, given no rows of its own; its model scores every row."""
+    out_dir = scratch_path(spark, "models")
+    rows = _ruled(spark, sf_dir)
+    preparation = prepare.card_preparation(CARD_NUMBERS, keep=["row_key", "Class"])
+    for given in (rows, rows.where("false")):
+        train.run_training(
+            given, preparation, "card", "Class", "row_key", out_dir, ["tree"], features_path=f"{out_dir}/features"
+        )
+    second = score.load_version(out_dir, "card", "tree", 2)
+    scored = score.score_rows(rows.drop("Class"), "card", *second, row_key="row_key")
+    return scored.select("row_key", F.col(score.LABEL).alias("label"))
+
+
 # A class of one category: its one-hot column alone decides.
 SOURCE_RULE = "source = 'Ads'"
 
