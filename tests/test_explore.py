@@ -40,6 +40,17 @@ def test_describe(frame, pdf):
     assert np.allclose(got[["count", "mean", "std", "min", "q25", "q50", "q75", "max"]].to_numpy(float), want.to_numpy(float))
 
 
+def test_exact_means_do_not_depend_on_row_order(spark):
+    cents = [0.1, 0.2, 0.3, 1e9, 0.1, 0.7]
+    for values in (cents, cents[::-1]):
+        rows = spark.createDataFrame([(v, 1.0) for v in values] + [(None, 2.0)], "v double, w double")
+        got = {r["feature"]: r["mean"] for r in explore.describe_numeric(rows, ["v", "w"], 2).collect()}
+        assert got == {"v": 100000000140 / 100 / 6, "w": 8 / 7}
+    # A value beyond whole units: the plain mean.
+    wide = spark.createDataFrame([(1e40,), (3e40,)], "v double")
+    assert explore.describe_numeric(wide, ["v"], 2).first()["mean"] == 2e40
+
+
 @pytest.mark.parametrize("column", ["x", "y", "flat"])
 def test_histogram(frame, pdf, column):
     counts, edges = np.histogram(pdf[column].dropna(), bins=50)
