@@ -1,7 +1,8 @@
 """Main text of web pages by composite text density.
 
-A page becomes a tree. Scripts, styles, forms and page furniture that names itself (by element or by
-class and id) are taken out. Every node then has its characters C and tags T below it, and of these
+A page becomes a tree. Scripts, styles, forms, hidden nodes and elements that are furniture by their kind or
+role are taken out. A class or id that names furniture (``MARKS``) is only a hint: it takes a node out if the node's own
+links and size agree, and never one that holds the core or most of the body's text. Every node then has its characters C and tags T below it, and of these
 those inside links, LC and LT. Its density is the characters per tag, adjusted for links::
 
     C / T * log(C * T / (LC * LT)) / log(log(C * LC / (C - LC) + C * LCb / Cb + e))
@@ -67,49 +68,62 @@ MARKS = frozenset(
     "related replies reply respond share sharing sidebar signup skip social sponsor sponsored subscribe subscription teaser "
     "toolbar tracking widget".split()
 )
-#: Of these, those that also rule out an ``article`` element.
+#: Of these, those that also count on an ``article`` element and as ids of sections of an article, where others are slugs.
 ARTICLE_MARKS = frozenset("ad ads advert advertisement comment comments promo related reply replies sponsored teaser".split())
 
+#: Characters below which a node outside paragraphs is a label, such as "Share this".
+LABEL = 30
+
 TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"""
     r"""|<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*+)(?P<rest>(?:[^>"']|"[^"]*+"|'[^']*+')*+)>"""
     r"""|<(?P<close2>/?)(?P<name2>[A-Za-z][^\s/>]*+)(?P<rest2>[^>]*+)(?:>|\Z)""",
     re.DOTALL,
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 MARKING = re.compile(r"""(?:^|[\s/])(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 WORDS = re.compile(r"[^a-z0-9]+")
 
 
 class Node:
-    __slots__ = ("name", "parent", "children", "drop", "inside", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("name", "parent", "children", "drop", "mark", "inside", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
     def __init__(self, name: str, parent: Node | None) -> None:
         self.name, self.parent = name, parent
         self.children: list[Node | str] = []
         self.drop = False
+        #: What class and id say: 0 nothing, 1 a word of furniture beside others (``has-sidebar``), 2 nothing but such words.
+        self.mark = 0
         #: Whether this is, or lies in, an article.
         self.inside = name in ("article", "main") or (parent is not None and parent.inside)
 
 
-def is_furniture(name: str, rest: str, parent: Node) -> bool:
-    if name in FURNITURE:
-        return True
-    if name == "header" and not parent.inside:
-        return True
+def named(name: str, rest: str, parent: Node) -> tuple[bool, int]:
+    """Whether an element is furniture by its kind, role or being hidden, and its mark."""
+    if name in FURNITURE or (name == "header" and not parent.inside):
+        return True, 0
     if not rest or name in ("html", "body", "main"):
-        return False
-    marks: set[str] = set()
+        return False, 0
+    mark = 0
     for key, value in MARKING.findall(rest):
         key, value = key.lower(), value.strip("\"'").lower()
         if key in ("class", "id"):
-            marks.update(WORDS.split(value))
+            if key == "id" and name in HEADINGS:
+                continue
+            slug = key == "id" and name == "section" and parent.inside
+            known = ARTICLE_MARKS if name == "article" or slug else MARKS
+            for token in value.split():
+                words = [w for w in WORDS.split(token) if w]
+                count = sum(w in known for w in words)
+                if count:
+                    mark = max(mark, 2 if count == len(words) else 1)
         elif key == "hidden" or (key == "aria-hidden" and value == "true"):
-            return True
+            return True, 0
         elif key == "role" and value in ("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert"):
-            return True
+            return True, 0
         elif key == "style" and "display:none" in value.replace(" ", ""):
-            return True
-    return bool(marks & (ARTICLE_MARKS if name == "article" else MARKS))
+            return True, 0
+    return False, mark
 
 
 def parse(page: str) -> Node:
@@ -172,7 +186,7 @@ def parse(page: str) -> Node:
         if here.name == "head" and name in BLOCK:
             here = left(here)
         new = Node(name, here)
-        new.drop = is_furniture(name, rest, here)
+        new.drop, new.mark = named(name, rest, here)
         here.children.append(new)
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(page, at)
@@ -223,12 +237,39 @@ def measure(nodes: list[Node], body: Node) -> None:
         node.total = sum(c.density for c in node.children if isinstance(c, Node) and not c.drop)
 
 
+def settle_marks(nodes: list[Node], body: Node) -> bool:
+    """Take out the marked ones of the measured ``nodes`` that are furniture by their own links and size too;
+    whether there are any. Where an article holds a tenth of the text or more, the core is looked for in articles, and
+    a marked node beside them may be longer than a short article."""
+    articles = any(n.name in ("article", "main") and not n.mark and n.chars * 10 >= body.chars for n in nodes)
+    holders, node = set(), max((n for n in nodes if n.inside or not articles), key=lambda n: n.total)
+    while node is not None:
+        holders.add(id(node))
+        node = node.parent
+    prose: set[int] = set()  # paragraphs, headings and what is in them
+    any_out = False
+    for node in nodes:
+        if node.name == "p" or node.name in HEADINGS or id(node.parent) in prose:
+            prose.add(id(node))
+        if not node.mark or id(node) in holders:
+            continue
+        if node.chars * 10 > body.chars * (9 if articles and not node.inside else 5):
+            continue
+        linked = node.link_chars * 2 >= node.chars
+        if node.mark == 2 or (id(node) not in prose and (linked or node.chars < LABEL)):
+            node.drop = any_out = True
+    return any_out
+
+
 def content_nodes(root: Node) -> list[Node]:
     """The subtrees that make up the article, in page order."""
     nodes = in_order(root)
     body = next((n for n in nodes if n.name == "body"), root)
     nodes = in_order(body)
     measure(nodes, body)
+    if any(n.mark for n in nodes) and settle_marks(nodes, body):
+        nodes = in_order(body)
+        measure(nodes, body)
     if not body.chars:
         return []
     # The node with the largest density sum of each subtree; the outer one on ties.

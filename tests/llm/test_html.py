@@ -61,3 +61,25 @@ def test_clashing_columns_nulls_and_empty_tables(spark):
     rows = extract(df).collect()
     assert sorted((str(r.page_id), r.text, r.n_chars) for r in rows) == [("1", "x", 1), ("1", "x", 1), ("None", "", 0)]
     assert extract(df.limit(0)).count() == 0
+
+
+PROSE = "<p>The first paragraph says a good deal about files and who reads them.</p><p>A second one goes on about the same at length.</p>"
+PROSE_TEXT = "The first paragraph says a good deal about files and who reads them. A second one goes on about the same at length."
+
+
+@pytest.mark.parametrize("name", ["content has-sidebar", "no-sidebar", "layout-with-sidebar", "sidebar", "widget social"])
+def test_a_wrapper_named_like_furniture_keeps_its_text(name):
+    assert main_text(f"<body><div class='{name}'>{PROSE}</div></body>") == PROSE_TEXT
+    page = f"<body><div id='{name}'><div>{PROSE}</div><div class='sidebar'><a href=x>More</a> <a href=y>Old</a></div></div></body>"
+    assert main_text(page) == PROSE_TEXT
+
+
+def test_slugged_ids_in_an_article_are_kept_and_link_lists_are_not():
+    page = (
+        f"<body><article class='post has-comments'>{PROSE}<h2 id='how-to-share-files'>How to share files</h2>"
+        "<section id='related-work'><p>Earlier work on this is long and has no links.</p></section><h2 id='login'>Login</h2>"
+        "<p>Sign <span class='social-word'>here</span>.</p>"
+        "<div class='related-posts'><a href=a>One post</a> <a href=b>And another post</a></div><div class='share-box'>Share this</div>"
+        "</article></body>"
+    )
+    assert main_text(page) == PROSE_TEXT + " How to share files Earlier work on this is long and has no links. Login Sign here."
