@@ -4,8 +4,10 @@ from riskloom.llm import (  # noqa: F401
     query_decontaminate,
     query_exact_dedup,
     query_html,
+    query_language,
     query_packing,
     query_quality,
+    query_ranked,
     query_repeats,
     query_simhash,
     query_token_files,
