@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from riskloom.llm.language import BREAK, automata, automaton, decided, fit_languages, held_out, phrases, pieces, plain, predict_language
+from riskloom.llm.language import BREAK, SEGMENT, automaton, cut, fit_languages, held_out, model_of, plain, predict_language
 
 
 def plain_phrases(sample, text):
@@ -21,36 +21,41 @@ def plain_phrases(sample, text):
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.text("abc ", max_size=40), st.text("abcd ", max_size=60))
-def test_phrases_equal_plain_longest_matches(sample, text):
-    assert phrases(automaton(sample), text) == plain_phrases(sample, text)
+@given(st.lists(st.text("abcé ", max_size=40), min_size=1, max_size=3), st.lists(st.text("abcdé ", max_size=60), max_size=5))
+def test_phrases_equal_plain_longest_matches(samples, texts):
+    found = model_of(tuple((str(k), s) for k, s in enumerate(samples))).phrases([t.encode() for t in texts])
+    assert found.tolist() == [[plain_phrases(s.encode(), t.encode()) for t in texts] for s in samples]
 
 
 @settings(max_examples=50, deadline=None)
 @given(st.text("ab", max_size=14))
 def test_automaton_reads_exactly_the_substrings(text):
-    words, waiting = set(), [("", automaton(text))]
+    after = automaton(text.encode())
+    words, waiting = set(), [("", 0)]
     while waiting:
         word, node = waiting.pop()
         words.add(word)
-        waiting += [(word + c, after) for c, after in node.items()]
+        waiting += [(word + chr(c), to) for c, to in after[node].items()]
     assert words == {text[i:j] for i in range(len(text) + 1) for j in range(i, len(text) + 1)}
 
 
 def test_decision_equals_brute_force():
     samples = (("x", "the cat sat on the mat" + BREAK + "that hat"), ("y", "le chat est sur la table"))
-    model = automata(samples)
-    for text in ("The cat", "chat 12 sur la TABLE", "zzz", "é", "x"):
-        cost = [plain_phrases(s, plain(text)) * np.log2(len(s) + 1) for _, s in samples]
-        language, score = decided(model, text)
-        assert language == "xy"[int(np.argmin(cost))] and score == pytest.approx(1 / sum(2 ** (min(cost) - c) for c in cost))
-    assert decided(model, None) == decided(model, "12 - _ 3") == decided((), "text") == ("und", 0.0)
-
-
-def test_pieces_keep_every_letter():
+    texts = ["The cat", "chat 12 sur la TABLE", "zzz", "é", "x", "the mat " * 200, None, "12 - _ 3", ""]
+    for text, (language, score) in zip(texts, model_of(samples).decided(texts)):
+        parts = cut(plain(text).encode(), SEGMENT)
+        if not parts:
+            assert (language, score) == ("und", 0.0)
+            continue
+        cost = [sum(plain_phrases(s.encode(), t) for t in parts) * np.log2(len(s.encode()) + 1) for _, s in samples]
+        assert language == "xy"[int(np.argmin(cost))] and score == pytest.approx(1 / sum(2 ** max(min(cost) - c, -1000) for c in cost))
+    assert model_of(()).decided(["text", None]) == [("und", 0.0)] * 2
+
+
+def test_cuts_keep_every_letter():
     text = "Ab cd, " * 500 + "x" * 1000 + " end"
-    assert "".join(pieces(text)) == plain(text) and len(pieces(text)) > 8
-    assert pieces(None) == pieces("12") == []
+    assert "".join(cut(plain(text), 200)) == plain(text) and len(cut(plain(text), 200)) > 8
+    assert cut(plain(None), 200) == cut(plain("12").encode(), 200) == []
 
 
 def test_query_on_held_out_rows(spark):
