@@ -27,7 +27,7 @@ from riskloom.llm.treap import Treap, best_columns, build
 from riskloom.session import written_once
 
 #: Distinct (term, document) pairs and documents after which a shard is closed; (item, term) pairs sent at a time.
-CELLS = 2_000_000
+CELLS = 1_000_000
 COLUMNS = 1 << 16
 BLOCK = 200_000
 
@@ -91,38 +91,53 @@ def last_if_none(key):
 SHARD = "keys array<{kind}>, terms binary, counts binary, depth int, marks binary, peaks binary, rows binary, columns binary"
 
 
-def shard_of(keys: list, found: list[Counter], totals: Totals, kind: pa.DataType) -> pa.RecordBatch:
-    """One shard's row: its treap, its keys in column order and its terms, space-joined, in row order."""
-    order = sorted(range(len(keys)), key=lambda k: last_if_none(keys[k]))
-    places: dict[bytes, int] = {}
-    rows, columns, tf, sizes = [], [], [], []
-    for column, k in enumerate(order):
-        counts = found[k]
-        rows.append(np.fromiter((places.setdefault(t, len(places)) for t in counts), np.int64, len(counts)))
-        tf.append(np.fromiter(counts.values(), np.int64, len(counts)))
-        columns.append(np.full(len(counts), column, np.int64))
-        sizes.append(int(tf[-1].sum()))
-    rows, columns, tf = np.concatenate(rows), np.concatenate(columns), np.concatenate(tf)
-    df = np.bincount(rows, minlength=len(places))
-    falling = np.argsort(-df, kind="stable")
-    rank = np.empty(len(falling), np.int64)
-    rank[falling] = np.arange(len(falling))
-    names = list(places)
-    impacts = totals.impact(tf, totals.norm(np.array(sizes, np.int64))[columns])
-    tree = build(rank[rows], columns, impacts)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([[keys[k] for k in order]], pa.list_(kind)),
-            pa.array([b" ".join(names[k] for k in falling.tolist())], pa.binary()),
-            pa.array([df[falling].astype("<i4").tobytes()], pa.binary()),
-            pa.array([tree.depth], pa.int32()),
-            pa.array([tree.marks.tobytes()], pa.binary()),
-            pa.array([tree.peaks.astype("<i4").tobytes()], pa.binary()),
-            pa.array([tree.rows.astype("<i4").tobytes()], pa.binary()),
-            pa.array([tree.columns.astype("<u2").tobytes()], pa.binary()),
-        ],
-        names=["keys", "terms", "counts", "depth", "marks", "peaks", "rows", "columns"],
-    )
+class Shard:
+    """Documents gathered for one treap: numbers only, beside one dictionary of the terms."""
+
+    def __init__(self) -> None:
+        self.keys: list = []
+        self.places: dict[bytes, int] = {}
+        self.rows: list[np.ndarray] = []
+        self.tf: list[np.ndarray] = []
+        self.cells = 0
+
+    def add(self, key: object, counts: Counter) -> None:
+        places = self.places
+        self.keys.append(key)
+        self.rows.append(np.fromiter((places.setdefault(t, len(places)) for t in counts), np.int32, len(counts)))
+        self.tf.append(np.fromiter(counts.values(), np.int64, len(counts)))
+        self.cells += len(counts)
+
+    def full(self, more: int) -> bool:
+        return bool(self.keys) and (self.cells + more > CELLS or len(self.keys) == COLUMNS)
+
+    def packed(self, totals: Totals, kind: pa.DataType) -> pa.RecordBatch:
+        """The shard's row: its treap, its keys in column order and its terms, space-joined, in row order."""
+        order = sorted(range(len(self.keys)), key=lambda k: last_if_none(self.keys[k]))
+        lengths = np.array([len(self.rows[k]) for k in order])
+        sizes = np.array([self.tf[k].sum() for k in order], np.int64)
+        rows, tf = np.concatenate([self.rows[k] for k in order]), np.concatenate([self.tf[k] for k in order])
+        columns = np.repeat(np.arange(len(order), dtype=np.int32), lengths)
+        df = np.bincount(rows, minlength=len(self.places))
+        falling = np.argsort(-df, kind="stable")
+        rank = np.empty(len(falling), np.int32)
+        rank[falling] = np.arange(len(falling))
+        names = list(self.places)
+        impacts = totals.impact(tf, np.repeat(totals.norm(sizes), lengths)).astype(np.int32)
+        tree = build(rank[rows], columns, impacts)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([[self.keys[k] for k in order]], pa.list_(kind)),
+                pa.array([b" ".join(names[k] for k in falling.tolist())], pa.binary()),
+                pa.array([df[falling].astype("<i4").tobytes()], pa.binary()),
+                pa.array([tree.depth], pa.int32()),
+                pa.array([tree.marks.tobytes()], pa.binary()),
+                pa.array([tree.peaks.astype("<i4").tobytes()], pa.binary()),
+                pa.array([tree.rows.astype("<i4").tobytes()], pa.binary()),
+                pa.array([tree.columns.astype("<u2").tobytes()], pa.binary()),
+            ],
+            names=["keys", "terms", "counts", "depth", "marks", "peaks", "rows", "columns"],
+        )
 
 
 def build_index(df: DataFrame, key: str = "doc_id", text: str = "text") -> Index:
@@ -131,23 +146,19 @@ def build_index(df: DataFrame, key: str = "doc_id", text: str = "text") -> Index
     kind = rows.schema["key"].dataType.simpleString()
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, found, cells, arrow = [], [], 0, None
+        shard, arrow = Shard(), None
         for batch in batches:
             arrow = batch.column(0).type
-            for start in range(0, batch.num_rows, 64):
-                part = batch.slice(start, 64)
-                for k, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    counts = Counter(terms_of(t))
-                    if not counts:
-                        continue
-                    if keys and (cells + len(counts) > CELLS or len(keys) == COLUMNS):
-                        yield shard_of(keys, found, totals, arrow)
-                        keys, found, cells = [], [], 0
-                    keys.append(k)
-                    found.append(counts)
-                    cells += len(counts)
-        if keys:
-            yield shard_of(keys, found, totals, arrow)
+            for at in range(batch.num_rows):
+                counts = Counter(terms_of(batch.column(1)[at].as_py()))
+                if not counts:
+                    continue
+                if shard.full(len(counts)):
+                    yield shard.packed(totals, arrow)
+                    shard = Shard()
+                shard.add(batch.column(0)[at].as_py(), counts)
+        if shard.keys:
+            yield shard.packed(totals, arrow)
 
     shards = rows.where(F.length("text") > 0).mapInArrow(work, SHARD.format(kind=kind))
     return Index(written_once(shards, "treaps"), totals, kind)
