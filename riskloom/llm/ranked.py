@@ -27,7 +27,7 @@ from riskloom.llm.treap import Treap, best_columns, build
 from riskloom.session import written_once
 
 #: Distinct (term, document) pairs and documents after which a shard is closed; (item, term) pairs sent at a time.
-CELLS = 1_000_000
+CELLS = 500_000
 COLUMNS = 1 << 16
 BLOCK = 200_000
 
@@ -88,6 +88,8 @@ def last_if_none(key):
     return (True, 0) if key is None else (False, key)
 
 
+#: How a treap's arrays are stored.
+STORED = {"marks": "u1", "peaks": "<i4", "rows": "<i4", "columns": "<u2"}
 SHARD = "keys array<{kind}>, terms binary, counts binary, depth int, marks binary, peaks binary, rows binary, columns binary"
 
 
@@ -131,12 +133,9 @@ class Shard:
                 pa.array([b" ".join(names[k] for k in falling.tolist())], pa.binary()),
                 pa.array([df[falling].astype("<i4").tobytes()], pa.binary()),
                 pa.array([tree.depth], pa.int32()),
-                pa.array([tree.marks.tobytes()], pa.binary()),
-                pa.array([tree.peaks.astype("<i4").tobytes()], pa.binary()),
-                pa.array([tree.rows.astype("<i4").tobytes()], pa.binary()),
-                pa.array([tree.columns.astype("<u2").tobytes()], pa.binary()),
+                *(pa.array([getattr(tree, n).astype(kind).tobytes()], pa.binary()) for n, kind in STORED.items()),
             ],
-            names=["keys", "terms", "counts", "depth", "marks", "peaks", "rows", "columns"],
+            names=["keys", "terms", "counts", "depth", *STORED],
         )
 
 
@@ -217,11 +216,11 @@ def search(index: Index, items: DataFrame, count: int = 20, item: str = "item_id
             for batch in batches:
                 arrow = batch.schema.field("keys").type.value_type
                 for at in range(batch.num_rows):
-                    shard = {n: batch.column(n)[at].as_py() for n in batch.schema.names if n != "keys"}
                     keys = batch.column("keys")[at].values.to_pylist()
-                    tree = Treap(shard["depth"], *(np.frombuffer(shard[n], kind) for n, kind in (("marks", "u1"), ("peaks", "<i4"), ("rows", "<i4"))),
-                                 np.frombuffer(shard["columns"], "<u2").astype(np.int64))
-                    places = {t: k for k, t in enumerate(shard["terms"].split()) if t in wanted}
+                    # The arrays are views of the batch.
+                    parts = {n: np.frombuffer(batch.column(n)[at].as_buffer(), kind) for n, kind in STORED.items()}
+                    tree = Treap(batch.column("depth")[at].as_py(), **parts)
+                    places = {t: k for k, t in enumerate(batch.column("terms")[at].as_py().split()) if t in wanted}
                     for number, (_, terms) in enumerate(block):
                         mine = [(places[t], w) for t, w in terms.items() if t in places]
                         least = best[number][-1][0] if len(best[number]) == count else 1

@@ -33,8 +33,8 @@ class Treap:
     def __post_init__(self) -> None:
         single = self.marks == 0
         # Of a divided node the place of its first child, of a single entry its place among these.
-        after = np.cumsum(_COUNT[self.marks])
-        first = 1 + after - _COUNT[self.marks]
+        children = _COUNT[self.marks]
+        first = 1 + np.cumsum(children) - children
         self.links = np.where(single, np.cumsum(single) - 1, first)
 
 
@@ -121,7 +121,7 @@ def best_columns(tree: Treap, rows: np.ndarray, weights: np.ndarray, count: int,
         marks, links = tree.marks[nodes].astype(np.int64), tree.links[nodes]
         bits = (rows[lines] >> shift & 1) * 2
         divided = marks > 0
-        own_side = np.where(divided, -1, tree.columns[np.where(divided, 0, links)] >> shift & 1)
+        own_side = np.where(divided, -1, tree.columns[np.where(divided, 0, links)].astype(np.int64) >> shift & 1)
         parts = []
         for side in (0, 1):
             slot = bits + side
