@@ -6,6 +6,8 @@ labels in SQL, row by row.
 
 from __future__ import annotations
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from riskloom.catalog.features import CENTS
 from riskloom.catalog.preparation import rounded
 from riskloom.catalog.resampling import CARD_KEY, FEATURES, card_with_key, sql_word
 from riskloom.fixtures import view, with_views
-from riskloom.operators import explain, models, sampling
+from riskloom.operators import explain, models, sampling, trees
 from riskloom.plans import engineer, interpret, prepare, score, train
 from riskloom.session import scratch_path, written_once
 from riskloom.sources import runs
@@ -302,6 +304,44 @@ def shapley_sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explain.shapley_sampled(model, instances, rows, "row_key", FEATURES)
 
 
+@register(
+    "shapley_trees",
+    with_views(
+        ["card"],
+        f"""WITH ruled AS (SELECT *, CAST({RULES['steep']} AS INTEGER) AS steep FROM card), {split_ctes('ruled', 'steep', CARD_HASH)},
+mean AS (SELECT avg(CAST(steep AS DOUBLE)) AS base FROM split WHERE NOT is_test)
+SELECT {CARD_KEY} AS row_key, feature, CASE feature WHEN 'V4' THEN round(steep - base, 9) ELSE 0.0E0 END AS contribution, round(base, 9) AS base
+FROM split, mean, (VALUES {', '.join(f"('{c}')" for c in FEATURES)}) n(feature)""",
+    ),
+)
+def shapley_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact contributions of a tree to the score of every row."""
+    model, rows = _tree(spark, sf_dir)
+    found = trees.shapley_trees(model, rows, "row_key", FEATURES)
+    return found.withColumns({c: F.round(c, 9) + F.lit(0.0) for c in ("contribution", "base")})
+
+
+@register(
+    "shapley_kernel",
+    with_views(
+        ["card"],
+        f"""WITH hashed AS (SELECT *, {CARD_KEY} AS k, md5(concat_ws('|', '42', {CARD_KEY})) AS h FROM card),
+means AS (SELECT {', '.join(f'avg({c}) AS {c}' for c in WEIGHTS)} FROM (SELECT * FROM hashed ORDER BY h, k LIMIT {explain.KERNEL_ROWS})),
+few AS (SELECT * FROM hashed ORDER BY h, k LIMIT 40)
+{' UNION ALL '.join(f"SELECT k AS row_key, '{c}' AS feature, round({w!r}::DOUBLE * (few.{c} - means.{c}), 4) + 0.0E0 AS contribution FROM few, means" for c, w in WEIGHTS.items())}""",
+    ),
+)
+def shapley_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contributions by regression over coalitions; for a linear model they are the weights times the distances from the background's means."""
+    card = card_with_key(spark, sf_dir)
+    linear = card.withColumn("target", sum((F.lit(w) * F.col(c) for c, w in WEIGHTS.items()), F.lit(0.0)))
+    vectors = VectorAssembler(inputCols=list(WEIGHTS), outputCol=models.VECTOR).transform(linear)
+    model = LinearRegression(featuresCol=models.VECTOR, labelCol="target", solver="normal").fit(vectors)
+    few = sampling.seeded_sample(card, ["row_key"], 40)
+    found = explain.shapley_kernel(model, few, card, "row_key", list(WEIGHTS), task="regressor")
+    return found.select("row_key", "feature", (F.round("contribution", 4) + F.lit(0.0)).alias("contribution"))
+
+
 @register(
     "lime_local",
     with_views(
@@ -342,7 +382,7 @@ def interpretation(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _ruled(spark, sf_dir, rule="steep")
     _train_tree(rows, out_dir)
     preparation, model = score.load_best(out_dir, "card")
-    return _that_matter(interpret.interpret(rows, "card", "row_key", preparation, model, label="Class"))
+    return _that_matter(interpret.interpret(rows, "card", "row_key", preparation, model, label="Class", method="sampled"))
 
 
 @register("ecommerce_interpretation", _importance_sql("txn", "txn_id", SOURCE_RULE, "source_Ads"))
@@ -350,7 +390,7 @@ def ecommerce_interpretation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same for e-commerce rows: addresses, velocity and one-hot columns included."""
     out_dir, raw, ranges = _train_ecommerce(spark, sf_dir, ("tree",))
     preparation, model = score.load_best(out_dir, "ecommerce")
-    return _that_matter(interpret.interpret(raw, "ecommerce", "txn_id", preparation, model, ranges))
+    return _that_matter(interpret.interpret(raw, "ecommerce", "txn_id", preparation, model, ranges, method="sampled"))
 
 
 @register(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from riskloom.catalog import register
 from riskloom.catalog.evaluation import CARD_KEYS
 from riskloom.fixtures import view, with_views
-from riskloom.operators import neighbours, resample
+from riskloom.operators import forest, neighbours, resample
 
 FEATURES = ["V1", "V2", "V3", "V4", "V5", "Amount"]
 CARD_KEY = f"concat_ws('-', {', '.join(CARD_KEYS)})"
@@ -35,6 +35,31 @@ def nearest_in_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.withColumn("distance", F.round("distance", 9))
 
 
+@register(
+    "near_in_class",
+    with_views(
+        ["card"],
+        f"""WITH few AS (SELECT {CARD_KEY} AS row_key FROM card WHERE Class = 1)
+SELECT row_key, CAST(least(5, (SELECT count(*) FROM few) - 1) AS INTEGER) AS listed, true AS distances_right, true AS ordered FROM few""",
+    ),
+)
+def near_in_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The forest's lists: every row gets its neighbours, in order and with their true distances. Which of the nearest it finds is
+    a measured recall (tests), not an exact result."""
+    few = card_with_key(spark, sf_dir).where("Class = 1").select("row_key", F.array(*FEATURES).alias("v"))
+    near = forest.near_neighbours(card_with_key(spark, sf_dir).where("Class = 1"), "row_key", FEATURES, 5)
+    there = few.select(F.col("row_key").alias("neighbour"), F.col("v").alias("there"))
+    gaps = F.zip_with("v", "there", lambda a, b: (a - b) * (a - b))
+    true = F.sqrt(F.aggregate(gaps, F.lit(0.0), lambda total, x: total + x))
+    checked = near.join(few, "row_key").join(there, "neighbour").withColumn("right", F.abs(true - F.col("distance")) < 1e-9)
+    lists = checked.groupBy("row_key").agg(
+        F.count("*").cast("int").alias("listed"), F.every("right").alias("distances_right"),
+        F.array_sort(F.collect_list(F.struct("rank", "distance"))).alias("lists"),
+    )
+    rising = F.col("lists.distance") == F.array_sort("lists.distance")
+    return lists.select("row_key", "listed", "distances_right", rising.alias("ordered"))
+
+
 def sql_word(digest: str, index: int) -> str:
     return f"CAST(concat('0x', substr({digest}, {1 + 8 * index}, 8)) AS BIGINT)"
 
@@ -55,8 +80,8 @@ made AS (SELECT d.row_key, d.copy, CAST(1 AS INTEGER) AS Class,
 
 @register("smote_points", with_views(["card"], f"WITH {_SYNTHETIC} SELECT * FROM made"))
 def smote_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All synthetic rows."""
-    made = resample.synthetic_rows(card_with_key(spark, sf_dir), "Class", "row_key", FEATURES)
+    """All synthetic rows, between exact neighbours."""
+    made = resample.synthetic_rows(card_with_key(spark, sf_dir), "Class", "row_key", FEATURES, search="exact")
     return made.withColumns({c: F.round(c, 6) + F.lit(0.0) for c in FEATURES})
 
 

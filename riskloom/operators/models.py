@@ -18,6 +18,8 @@ from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomFor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.operators.leafwise import LeafwiseBooster
+
 log = logging.getLogger(__name__)
 
 VECTOR, SCORE = "features", "score"
@@ -31,7 +33,7 @@ DEFAULTS: dict[str, dict[str, object]] = {
     "tree": {"max_depth": 10},
     "forest": {"n_estimators": 100, "max_depth": 10},
     "boosted": {"n_estimators": 200, "learning_rate": 0.1, "max_depth": 5},
-    "light_boosted": {"n_estimators": 100, "learning_rate": 0.1, "max_depth": 5},
+    "light_boosted": {"n_estimators": 100, "learning_rate": 0.1, "max_depth": 5, "num_leaves": 31},
 }
 
 _TREES = {
@@ -41,8 +43,6 @@ _TREES = {
     ("forest", "regressor"): RandomForestRegressor,
     ("boosted", "classifier"): GBTClassifier,
     ("boosted", "regressor"): GBTRegressor,
-    ("light_boosted", "classifier"): GBTClassifier,
-    ("light_boosted", "regressor"): GBTRegressor,
 }
 
 
@@ -70,6 +70,13 @@ def make_estimator(
             elasticNetParam=0.0,
             standardization=False,
         )
+    if kind == "light_boosted":
+        # Leaf by leaf; the other settings of the estimator can be given under these names.
+        names = {
+            "n_estimators": "trees", "learning_rate": "learningRate", "max_depth": "maxDepth", "num_leaves": "leaves", "leaf_rows": "leafRows",
+            "leaf_penalty": "leafPenalty", "least_gain": "leastGain", "subsample": "subsample", "column_share": "columnShare",
+        }
+        return LeafwiseBooster(featuresCol=VECTOR, labelCol=label, task=task, seed=seed, **{names[k]: v for k, v in chosen.items()})
     options = {"featuresCol": VECTOR, "labelCol": label, "seed": seed, "maxDepth": int(chosen["max_depth"]), "maxBins": TREE_BINS}
     if kind == "forest":
         options["numTrees"] = int(chosen["n_estimators"])

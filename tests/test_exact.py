@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators import running, sampling
+from riskloom.operators.forest import leaves, near_neighbours
 from riskloom.operators.neighbours import nearest_neighbours
 from riskloom.operators.quantiles import exact_quantiles, exact_quantiles_by
+from riskloom.session import written_once
 
 
 @pytest.fixture(scope="module")
@@ -109,3 +111,49 @@ def test_neighbours_of_few_points(spark):
     df = spark.createDataFrame([(1, 0.0), (2, 1.0), (3, 5.0)], "id long, a double")
     got = sorted(tuple(r) for r in nearest_neighbours(df, "id", ["a"], 5).collect())
     assert got == [(1, 2, 1, 1.0), (1, 3, 2, 5.0), (2, 1, 1, 1.0), (2, 3, 2, 4.0), (3, 1, 2, 5.0), (3, 2, 1, 4.0)]
+
+
+def recall(near, ids, x, k, some):
+    lists = near.groupBy("id").agg(F.collect_list("neighbour").alias("n")).collect()
+    found = {r["id"]: set(r["n"]) for r in lists}
+    hits = 0
+    for i in some:
+        far = ((x - x[i]) ** 2).sum(1)
+        far[i] = np.inf
+        hits += len(found[ids[i]] & set(ids[np.argsort(far, kind="stable")[:k]].tolist()))
+    return hits / (k * len(some))
+
+
+@pytest.mark.parametrize("width", [8, 30])
+def test_recall_of_the_forest(spark, width):
+    """Independent normal columns, the hardest case: 12,000 points fill about a dozen leaves a tree."""
+    rng = np.random.default_rng(width)
+    x = rng.normal(size=(12_000, width)).round(5)
+    names = [f"c{i}" for i in range(width)]
+    df = spark.createDataFrame(pd.DataFrame(x, columns=names).assign(id=np.arange(len(x))))
+    near = written_once(near_neighbours(df, "id", names, 5), "near")
+    assert near.count() == 5 * len(x)
+    assert recall(near, np.arange(len(x)), x, 5, rng.choice(len(x), 300, replace=False)) >= 0.9
+
+
+def test_forest_leaves_are_bounded_and_hold_every_point(spark):
+    rng = np.random.default_rng(1)
+    x = np.concatenate([rng.normal(size=(3000, 3)), np.repeat([[1.0, 2.0, 3.0]], 6, 0), np.tile([0.0, 0.0, 1.0], (40, 1)) * np.arange(40)[:, None]])
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
+    placed = written_once(leaves(df, 3, 64, 2, 7), "leaves")
+    assert placed.groupBy("tree", "cell").count().agg(F.max("count")).first()[0] <= 64
+    per_tree = placed.groupBy("tree", "id").count()
+    assert per_tree.count() == 3 * len(x) and per_tree.agg(F.max("count")).first()[0] <= 4
+
+
+def test_forest_is_exact_within_one_leaf_and_with_copies(spark):
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 4, (300, 2)).astype(float)
+    ids = np.array([f"k{i:03}" for i in range(300)])
+    df = spark.createDataFrame(pd.DataFrame(x, columns=["a", "b"]).assign(id=ids))
+    got = sorted((r["id"], r["rank"], r["neighbour"], round(r["distance"], 9)) for r in near_neighbours(df, "id", ["a", "b"], 5).collect())
+    exact = sorted((r["id"], r["rank"], r["neighbour"], round(r["distance"], 9)) for r in nearest_neighbours(df, "id", ["a", "b"], 5).collect())
+    assert got == exact
+    assert near_neighbours(df.limit(0), "id", ["a", "b"], 5).count() == 0
+    with pytest.raises(ValueError, match="too small"):
+        near_neighbours(df, "id", ["a", "b"], 5, leaf_rows=10)
