@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from riskloom.catalog import register
 from riskloom.fixtures import view, with_views
 from riskloom.functions.network import ip_to_int
 from riskloom.operators import clean, derive, geo, velocity
+from riskloom.operators.velocity_state import VelocityState
+from riskloom.session import scratch_path
 from riskloom.session import scratch_path
 from riskloom.sources import tables
 
@@ -400,6 +404,34 @@ for _name, _id in (("user", "user_id"), ("device", "device_id"), ("ip", "ip_addr
     register(f"velocity_{_name}_chunked", _velocity_check(_id))(_velocity_query(_id, frame_rows=0))
 
 
+@register(
+    "velocity_batches",
+    with_views(
+        ["txn"],
+        f"""WITH a AS ({sql_velocity('user_id', 'txn', 'purchase_time', SQL_AMOUNT)}), b AS ({sql_velocity('device_id', 'txn', 'purchase_time', SQL_AMOUNT)})
+SELECT * FROM a JOIN b USING (txn_id)""",
+    ),
+)
+def velocity_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches by time, each measured against the stored state of those before, every one applied twice and
+    the state merged in between: the frames of their union."""
+    txn = derive.add_refund_flag(view(spark, sf_dir, "txn"), "purchase_value")
+    when = F.unix_micros("purchase_time")
+    first, last = txn.agg(F.min(when), F.max(when)).first()
+    txn = txn.withColumn("batch", F.floor((when - first) * 3 / (last - first + 1)))
+    state = VelocityState(spark, scratch_path(spark, "velocity"), ["user_id", "device_id"], "purchase_time", "purchase_value", money_scale=CENTS)
+    parts = []
+    for number in range(3):
+        rows = txn.where(F.col("batch") == number)
+        state.apply(rows, f"batch-{number}")
+        parts.append(state.measured(rows, f"batch-{number}"))
+        state.apply(rows, f"batch-{number}")
+        if number == 1:
+            state.compact()
+    names = [n for c in ("user_id", "device_id") for n in velocity.feature_names(c)]
+    return reduce(DataFrame.unionByName, parts).select("txn_id", *names)
+
+
 @register(
     "velocity_edges",
     with_views(

@@ -10,7 +10,9 @@ from riskloom.catalog.features import CENTS, FLAGSHIP_SQL, ID_COLS, SQL_GEO
 from riskloom.fixtures import view, with_views
 from riskloom.functions.coerce import clean_zero
 from riskloom.operators import derive, encode, velocity
+from riskloom.operators.dictionary import SparseEncoder
 from riskloom.plans import prepare
+from riskloom.session import scratch_path
 
 DIGITS = 6
 
@@ -92,6 +94,30 @@ def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoder.fit(txn).transform(txn)
 
 
+SPARSE = ["source", "browser", "device_id", "ip_address"]
+
+
+def _sparse_sql() -> str:
+    """Places by column and value after one number; a null is its column's most frequent value."""
+    counts = " UNION ALL ".join(f"SELECT {i} AS f, {c} AS value, count(*) AS n FROM txn WHERE {c} IS NOT NULL GROUP BY {c}" for i, c in enumerate(SPARSE))
+    texts = " UNION ALL ".join(f"SELECT txn_id, {i} AS f, {c} AS value FROM txn" for i, c in enumerate(SPARSE))
+    return f"""WITH counts AS ({counts}),
+places AS (SELECT f, value, row_number() OVER (ORDER BY f, value) AS place FROM counts),
+most AS (SELECT f, value AS fill FROM counts QUALIFY row_number() OVER (PARTITION BY f ORDER BY n DESC, value) = 1),
+texts AS (SELECT txn_id, f, coalesce(value, fill) AS value FROM ({texts}) JOIN most USING (f))
+SELECT txn_id, place, 1.0E0 AS value FROM texts JOIN places USING (f, value)
+UNION ALL SELECT txn_id, 0, round((purchase_value - (SELECT avg(purchase_value) FROM txn)) / (SELECT stddev_pop(purchase_value) FROM txn), {DIGITS}) + 0.0E0 FROM txn"""
+
+
+@register("one_hot_sparse", with_views(["txn"], _sparse_sql()))
+def one_hot_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places and values of every row over a stored dictionary, with a column that has an address per row."""
+    txn = view(spark, sf_dir, "txn")
+    encoder = SparseEncoder(dictionary=scratch_path(spark, "dictionary"), numbers=["purchase_value"], categories=SPARSE, keep=["txn_id"], numberStrategy="mean")
+    encoded = encoder.fit(txn).transform(txn)
+    return rounded(encoded.select("txn_id", F.inline(F.arrays_zip(F.col("places").alias("place"), F.col("values").alias("value")))), "value")
+
+
 _VELOCITY = [n for c in ID_COLS for n in velocity.feature_names(c)]
 ECOMMERCE_SCALED = ["Amount", "age", derive.REFUND, *derive.CALENDAR_FEATURES, derive.SINCE_SIGNUP, *_VELOCITY]
 

@@ -23,7 +23,7 @@ so a total does not depend on the order of the rows.
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -65,18 +65,34 @@ def _by_frames(df: DataFrame, id_col: str, windows: Sequence[int], money_scale:
     return df.withColumns(measures)
 
 
-def _history(df: DataFrame, windows: Sequence[int], money_scale: int, chunk_minutes: int) -> DataFrame:
-    """(id, instant) with the measures of every window."""
+def chunk_micros(chunk_minutes: int) -> int:
     chunk = chunk_minutes * 60_000_000
     if DAY_MICROS % chunk:
         raise ValueError("chunk_minutes must divide a day")
-    per_day = DAY_MICROS // chunk
+    return chunk
+
+
+def chunk_of(position: Column, chunk: int) -> Column:
+    return F.floor(position / F.lit(chunk)).cast("long")
+
+
+def merged_instants(activity: DataFrame) -> DataFrame:
+    """Counts and sums per id and instant; map-side merging keeps repeated instants cheap."""
+    return activity.groupBy("__id", "__at").agg(F.count(F.lit(1)).alias("n"), F.sum("__amount").alias("s"))
+
 
-    def chunk_of(position):
-        return F.floor(position / F.lit(chunk)).cast("long")
+def chunk_totals(merged: DataFrame, chunk: int) -> DataFrame:
+    """One total per id and chunk: bounded by the time covered, not by the rows."""
+    return merged.groupBy("__id", chunk_of(F.col("__at"), chunk).alias("chunk")).agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
 
-    # Counts and sums per instant; map-side merging keeps repeated instants cheap.
-    merged = df.groupBy("__id", "__at").agg(F.count(F.lit(1)).alias("n"), F.sum("__amount").alias("s"))
+
+def frames(merged: DataFrame, totals: DataFrame, windows: Sequence[int], money_scale: int, chunk: int) -> DataFrame:
+    """(id, instant) with the measures of every window.
+
+    ``merged`` has the instants, ``totals`` the chunks. Only instants whose own chunk, and whose chunks a window earlier, are
+    complete in ``merged`` get right measures.
+    """
+    per_day = DAY_MICROS // chunk
     # Copy 0 is the row itself, copy w the row moved w days later.
     copies = F.array(
         *[
@@ -84,7 +100,7 @@ def _history(df: DataFrame, windows: Sequence[int], money_scale: int, chunk_minu
             for w in (0, *windows)
         ]
     )
-    placed = merged.select("__id", "n", "s", F.inline(copies)).withColumn("chunk", chunk_of(F.col("place")))
+    placed = merged.select("__id", "n", "s", F.inline(copies)).withColumn("chunk", chunk_of(F.col("place"), chunk))
     earlier = Window.partitionBy("__id", "chunk").orderBy("place").rangeBetween(Window.unboundedPreceding, -1)
     # Descending order makes "from t - w on" a running sum as well.
     from_here = Window.partitionBy("__id", "chunk").orderBy(F.col("place").desc()).rangeBetween(
@@ -99,12 +115,6 @@ def _history(df: DataFrame, windows: Sequence[int], money_scale: int, chunk_minu
         {f"tail_{m}_{w}": F.sum(only(w, m)).over(from_here) for w in windows for m in ("n", "s")}
     ).where("moved = 0")
 
-    # One total per id and chunk: bounded by the time covered, not by the rows.
-    totals = (
-        merged.withColumn("chunk", chunk_of(F.col("__at")))
-        .groupBy("__id", "chunk")
-        .agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
-    )
     by_chunk = Window.partitionBy("__id").orderBy("chunk")
 
     def between(measure: str, w: int) -> Column:
@@ -175,11 +185,7 @@ def add_velocity(
         return df.withColumns(dict(zip(names, zeros * len(id_cols))))
 
     def timed(frame: DataFrame) -> DataFrame:
-        kinds = {f.name: f.dataType for f in frame.schema.fields}
-        when = coerce.timestamp_or_null(F.col(time_col), kinds[time_col]).cast("timestamp")
-        amount = coerce.number_or_zero(F.col(amount_col), kinds[amount_col])
-        amount = F.round(amount * F.lit(float(10**money_scale))).cast("long")
-        return frame.withColumns({"__when": F.unix_micros(when), "__amount": amount})
+        return with_instants(frame, time_col, amount_col, money_scale)
 
     if frame_rows > 0 and history is None:
         out = timed(df)
@@ -187,31 +193,52 @@ def add_velocity(
             out = _by_frames(out, id_col, windows, money_scale)
         return out.drop("__when", "__amount")
 
-    def key_of(place: int) -> Column:
-        """An id as text, with its column's place before it; just the place for a null."""
-        return F.concat(F.lit(f"{place}:"), F.coalesce(F.col(present[place]).cast(types[present[place]]).cast("string"), F.lit("")))
+    rows = activity_of(timed(df), present, types)
+    if history is not None:
+        rows = rows.unionByName(activity_of(timed(history), present, types))
+    chunk = chunk_micros(chunk_minutes)
+    merged = merged_instants(rows)
+    features = frames(merged, chunk_totals(merged, chunk), windows, money_scale, chunk)
+    return looked_up(timed(df), df.columns, features, present, types, windows)
 
-    def known(place: int) -> Column:
-        return F.col(present[place]).cast(types[present[place]]).isNotNull()
 
-    def activity(frame: DataFrame) -> DataFrame:
-        pairs = F.array(*[F.struct(F.when(known(i), key_of(i)).alias("__id")) for i in range(len(present))])
-        return timed(frame).where("__when is not null").select(
-            F.col("__when").alias("__at"), "__amount", F.inline(pairs)
-        ).where("__id is not null")
+def with_instants(frame: DataFrame, time_col: str, amount_col: str, money_scale: int) -> DataFrame:
+    """``__when`` in microseconds and ``__amount`` in whole units."""
+    kinds = {f.name: f.dataType for f in frame.schema.fields}
+    when = coerce.timestamp_or_null(F.col(time_col), kinds[time_col]).cast("timestamp")
+    amount = coerce.number_or_zero(F.col(amount_col), kinds[amount_col])
+    amount = F.round(amount * F.lit(float(10**money_scale))).cast("long")
+    return frame.withColumns({"__when": F.unix_micros(when), "__amount": amount})
+
+
+def id_key(column: str, types: Mapping[str, object]) -> Column:
+    """An id as text after its column's name; null for a null."""
+    return F.concat(F.lit(f"{column}:"), F.col(column).cast(types[column]).cast("string"))
+
+
+def activity_of(timed: DataFrame, id_cols: Sequence[str], types: Mapping[str, object]) -> DataFrame:
+    """Narrow rows (id, instant, amount), one per id column that is known."""
+    pairs = F.array(*[F.struct(id_key(c, types).alias("__id")) for c in id_cols])
+    narrow = timed.where("__when is not null").select(F.col("__when").alias("__at"), "__amount", F.inline(pairs))
+    return narrow.where("__id is not null")
 
-    rows = activity(df)
-    if history is not None:
-        rows = rows.unionByName(activity(history))
-    features = _history(rows, windows, money_scale, chunk_minutes)
 
+def looked_up(
+    out: DataFrame, columns: Sequence[str], features: DataFrame, present: Sequence[str], types: Mapping[str, object], windows: Sequence[int]
+) -> DataFrame:
+    """The rows (with ``__when``) and the measures of their ids at their instant; zeros where there are none."""
+    names = [n for c in present for n in feature_names(c, windows)]
+    if len(present) == 1:
+        renamed = dict(zip(feature_names("", windows), names))
+        features = features.withColumnsRenamed({**renamed, "__at": "__when", "__id": "__key_0"})
+        out = out.withColumn("__key_0", id_key(present[0], types)).join(features, ["__when", "__key_0"], "left")
+        return with_zeros(out, columns, names)
     # Rows with the same ids and instant share their measures: each combination is looked up once.
     keys = [f"__key_{i}" for i in range(len(present))]
-    out = timed(df).withColumns({k: F.when(known(i), key_of(i)).otherwise(F.lit(f"{i}")) for i, k in enumerate(keys)})
+    out = out.withColumns({k: F.coalesce(id_key(c, types), F.lit("")) for k, c in zip(keys, present)})
     combined = out.where("__when is not null").select("__when", *keys).distinct()
     pairs = F.array(*[F.struct(F.lit(i).alias("__place"), F.col(k).alias("__id")) for i, k in enumerate(keys)])
     looked = combined.select("__when", *keys, F.col("__when").alias("__at"), F.inline(pairs)).join(features, ["__id", "__at"])
-    names = [n for c in present for n in feature_names(c, windows)]
     wide = looked.groupBy("__when", *keys).agg(
         *[
             F.max(F.when(F.col("__place") == i, F.col(f))).alias(n)
@@ -219,6 +246,9 @@ def add_velocity(
             for f, n in zip(feature_names("", windows), feature_names(c, windows))
         ]
     )
+    return with_zeros(out.join(wide, ["__when", *keys], "left"), columns, names)
+
+
+def with_zeros(out: DataFrame, columns: Sequence[str], names: Sequence[str]) -> DataFrame:
     zero = {n: (F.lit(0).cast("long") if "_transactions_last_" in n else F.lit(0.0)) for n in names}
-    out = out.join(wide, ["__when", *keys], "left")
-    return out.select(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns], *[F.coalesce(F.col(n), zero[n]).alias(n) for n in names])
+    return out.select(*[F.col("`" + c.replace("`", "``") + "`") for c in columns], *[F.coalesce(F.col(n), zero[n]).alias(n) for n in names])

@@ -1,8 +1,11 @@
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegression
+from pyspark.sql import functions as F
 
 from riskloom.operators import encode
+from riskloom.operators.dictionary import SparseEncoder, SparseEncoderModel, as_vectors
 from riskloom.operators.encode import FeatureEncoder
 
 ROWS = [(1, 1.0, "b", "p"), (2, None, "a", "q"), (3, 4.0, None, "7"), (4, 10.0, "b", None)]
@@ -74,3 +77,32 @@ def test_saved_model_gives_the_same_rows(spark, tmp_path):
     path = str(tmp_path / "m")
     model.write().overwrite().save(path)
     assert sorted(PipelineModel.load(path).transform(df).collect()) == sorted(model.transform(df).collect())
+
+
+def test_sparse_encoder_with_many_categories(spark, tmp_path):
+    """200,000 categories: the driver gets none, and every row finds its own place."""
+    n = 200_000
+    df = spark.range(2 * n).select("id", F.format_string("c%07d", F.col("id") % n).alias("many"), (F.col("id") % 2).cast("string").alias("few"), F.col("id").cast("double").alias("x"))
+    encoder = SparseEncoder(dictionary=str(tmp_path / "d"), numbers=["x"], categories=["many", "few"], keep=["id"], numberStrategy="mean")
+    model = encoder.fit(df)
+    model.write().overwrite().save(str(tmp_path / "model"))
+    model = SparseEncoderModel.load(str(tmp_path / "model"))
+    assert model.size() == 1 + n + 2
+    assert not any(isinstance(v, (list, dict)) and len(v) > 3 for v in model.getOrDefault("fitted").values())
+    out = model.transform(df)
+    wanted = F.array(F.lit(0).cast("long"), F.col("id") % n + 1, n + 1 + F.col("id") % 2)
+    assert out.where(F.col("places") != wanted).count() == 0 and out.count() == 2 * n
+
+
+def test_sparse_rows_as_vectors_train_a_model(spark, tmp_path):
+    rows = [(i, "a" if i % 3 else "b", float(i % 7), float(i % 3 == 0)) for i in range(120)] + [(200, None, None, 0.0)]
+    df = spark.createDataFrame(rows, "id int, kind string, x double, y double")
+    model = SparseEncoder(dictionary=str(tmp_path / "d"), numbers=["x"], categories=["kind"], keep=["id", "y"], numberStrategy="mean").fit(df)
+    fresh = spark.createDataFrame([(1, "never seen", 1.0, 0.0), (2, None, None, 0.0)], df.schema)
+    assert [(r.id, r.places) for r in model.transform(fresh).orderBy("id").collect()] == [(1, [0]), (2, [0, 1])]
+    table = as_vectors(model.transform(df), model.size())
+    vectors = {r.id: r.features for r in table.collect()}
+    assert vectors[1].size == 3 and vectors[1].indices.tolist() == [0, 1] and vectors[3].indices.tolist() == [0, 2]
+    scored = LogisticRegression(labelCol="y").fit(table).transform(table)
+    assert scored.where("prediction <> y").count() == 0
+    assert model.transform(df.limit(0)).count() == 0

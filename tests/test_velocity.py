@@ -1,10 +1,12 @@
 import random
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators import velocity
+from riskloom.operators.velocity_state import VelocityState
 
 START = datetime(2024, 1, 1, tzinfo=timezone.utc)
 DAY = timedelta(days=1)
@@ -85,3 +87,44 @@ def test_chunks_keep_windows_apart(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(__id" in plan and "chunk" in plan
     assert {r["who_transactions_last_1d"] for r in out.where("key >= 24").select(F.col("who_transactions_last_1d")).collect()} == {24}
+
+
+def test_state_gives_the_frames_of_the_union(spark, tmp_path):
+    rng = random.Random(3)
+    minutes = [rng.choice([0, 1, 59, 60, 61, 1440, 1441, 10_080, 43_200, rng.randrange(60_000)]) + rng.choice([0, 0, 1440]) for _ in range(160)]
+    rows = sorted(((i, rng.choice(["a", "b", None]), START + timedelta(minutes=m), float(rng.randrange(-50, 50))) for i, m in enumerate(minutes)), key=lambda r: r[2])
+    cuts = [0, 40, 41, 110, 160]
+    # Rows of one instant stay in one batch.
+    cuts = [next((k for k in range(c, 161) if k in (0, 160) or rows[k][2] != rows[k - 1][2]), 160) for c in cuts]
+    state = VelocityState(spark, str(tmp_path), ["who"], "at", "amount")
+    names, got = velocity.feature_names("who"), {}
+    for number, (low, high) in enumerate(zip(cuts, cuts[1:])):
+        batch = spark.createDataFrame(rows[low:high], KIND)
+        before = state.measured(batch, f"b{number}").collect()
+        assert state.apply(batch, f"b{number}") is True and state.apply(batch, f"b{number}") is False
+        again = state.measured(batch, f"b{number}").collect()
+        assert sorted(before) == sorted(again)
+        got |= {r["key"]: [r[n] for n in names] for r in again}
+        if number == 2:
+            state.compact()
+            with pytest.raises(ValueError, match="merged"):
+                state.measured(batch, "b0")
+    want = brute_force(rows, velocity.WINDOW_DAYS)
+    assert set(got) == set(want) and all(got[k] == pytest.approx(want[k]) for k in want)
+    assert len(state.manifest().batches) == 4 and len(state.manifest().tables) == 2
+
+
+def test_state_takes_each_batch_once_from_many_drivers(spark, tmp_path):
+    batch = spark.createDataFrame([(1, "a", START, 1.0), (2, "a", START + DAY, 2.0)], KIND)
+    with ThreadPoolExecutor(4) as pool:
+        took = list(pool.map(lambda k: VelocityState(spark, str(tmp_path), ["who"], "at", "amount").apply(batch, f"b{k % 2}"), range(4)))
+    state = VelocityState(spark, str(tmp_path), ["who"], "at", "amount")
+    assert sorted(took) == [False, False, True, True] and sorted(state.manifest().batches) == ["b0", "b1"]
+    late = spark.createDataFrame([(3, "a", START + 2 * DAY, 0.0), (4, None, None, None)], KIND)
+    rows = {r["key"]: r for r in state.measured(late).collect()}
+    assert rows[3]["who_transactions_last_7d"] == 4 and rows[3]["who_total_amount_last_1d"] == 4.0 and rows[4]["who_transactions_last_30d"] == 0
+    with pytest.raises(ValueError, match="kept in"):
+        VelocityState(spark, str(tmp_path), ["who"], "at", "amount", money_scale=2)
+    state.compact(from_day=10**6)
+    assert state.measured(late).where("who_transactions_last_30d > 0").count() == 0
+    assert state.measured(late.limit(0)).count() == 0
