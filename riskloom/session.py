@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +18,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Hot join keys are split at run time; the joins here keep the small side unique.
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # What a job has shuffled goes with the job: results that are needed again are written as tables.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 
 
@@ -113,6 +115,14 @@ def drop_scratch(spark: SparkSession, keep: int = 0) -> int:
     return dropped
 
 
+def written_alone(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """The table that ``make`` gives, written; the scratch tables ``make`` needed are deleted."""
+    path = scratch_path(spark, name)
+    with scratch_scope(spark):
+        make().write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def written_once(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as a parquet table in the shared folder, so later passes read only what they need."""
     path = scratch_path(df.sparkSession, name)
