@@ -4,17 +4,15 @@ A text is cut only where the tokenizer is known to cut as well. The ids of each
 remembered, so a frequent word is encoded once a worker and not once an occurrence. Plain pieces
 (a run of Latin letters or of ASCII signs, with at most one blank before it) are a single
 pre-token and go straight to the library's merge model; all other pieces go through its whole
-pipeline. Texts with other white space than blanks and line feeds are encoded as one piece. The
-memory is bounded: a full table is emptied.
+pipeline. Texts with other white space than blanks and line feeds, and those that hold a special token, are encoded as one piece. The
+memory is bounded: a full table is emptied before the next slice of texts.
 """
 
 from __future__ import annotations
 
 import os
 import re
-import struct
-
-import numpy as np
+from array import array
 
 #: Pieces a worker remembers.
 REMEMBERED = 600_000
@@ -42,59 +40,59 @@ def byte_letters() -> dict[int, int]:
 
 
 BYTE_LETTERS = byte_letters()
+BLANK = chr(BYTE_LETTERS[32])
 
 _encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-class Encoder:
-    def __init__(self, path: str, blanks_matter: bool) -> None:
+class Encoder(dict):
+    """Ids by piece; what is not remembered yet is encoded on the way.
+
+    ``specials`` says what a special token's string inside a text is: by default the special token, as the library
+    has it; with False it is ordinary text.
+    """
+
+    def __init__(self, path: str, blanks_matter: bool, specials: bool = True) -> None:
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # A special token's string inside a text is ordinary text.
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not specials
+        names = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()] if specials else []
+        # A text with one of these in it is not cut.
+        self.whole = re.compile("|".join([OTHER_SPACE.pattern, *map(re.escape, names)]))
         self.model = self.tokenizer.model
         self.blanks_matter = blanks_matter
-        self.known: dict[str, bytes] = {}
 
-    def whole(self, pieces: list[str]) -> list[bytes]:
-        done = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(one.ids, dtype="<u4").tobytes() for one in done]
+    def __missing__(self, piece: str) -> bytes:
+        if len(piece) > LONGEST:
+            return self.through(piece)
+        ids = self.plain(piece) if PLAIN.match(piece) else self.through(piece)
+        self[piece] = ids
+        return ids
+
+    def through(self, piece: str) -> bytes:
+        """The ids of a piece by the library's whole pipeline."""
+        return array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
 
     def plain(self, piece: str) -> bytes:
         """The ids of one pre-token."""
         if not self.blanks_matter:
             piece = piece.lstrip(" ").lower()
-        letters = piece.encode("utf-8").decode("latin-1").translate(BYTE_LETTERS)
-        ids = [token.id for token in self.model.tokenize(letters)]
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def pieces(self, text: str) -> list[str]:
-        return [text] if OTHER_SPACE.search(text) else PIECE.findall(text)
+        if piece.isascii():
+            # Of the plain ASCII characters only the blank has another letter.
+            letters = piece.replace(" ", BLANK)
+        else:
+            letters = piece.encode("utf-8").decode("latin-1").translate(BYTE_LETTERS)
+        return array("I", [token.id for token in self.model.tokenize(letters)]).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text."""
-        cut = [self.pieces(text) for text in texts]
-        known = self.known
-        new = {piece for pieces in cut for piece in pieces if piece not in known}
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = {piece for pieces in cut for piece in pieces}
-        odd = []
-        for piece in new:
-            if len(piece) <= LONGEST and PLAIN.match(piece):
-                known[piece] = self.plain(piece)
-            else:
-                odd.append(piece)
-        long = [piece for piece in odd if len(piece) > LONGEST]
-        short = [piece for piece in odd if len(piece) <= LONGEST]
-        known.update(zip(short, self.whole(short)))
-        here = dict(zip(long, self.whole(long)))
-        if here:
-            return [b"".join([here[p] if p in here else known[p] for p in pieces]) for pieces in cut]
-        look = known.__getitem__
-        return [b"".join(map(look, pieces)) for pieces in cut]
+        """The ids of each text, as little-endian 32-bit numbers."""
+        if len(self) > REMEMBERED:
+            self.clear()
+        look = self.__getitem__
+        return [self.through(text) if self.whole.search(text) else b"".join(map(look, PIECE.findall(text))) for text in texts]
 
 
 def encoder(path: str, blanks_matter: bool) -> Encoder:

@@ -20,17 +20,19 @@ ODD = [
 
 def ids_of(path, text, end):
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     return np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [end], dtype="<u4")
 
 
+@pytest.mark.parametrize("specials", [True, False])
 @pytest.mark.parametrize("path, blanks", [(WORDS, False), (BYTES, True)])
-def test_encoder_equals_the_library(path, blanks, spark, sf):
+def test_encoder_equals_the_library(path, blanks, specials, spark, sf):
     texts = ODD + [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect()]
     texts += [a + b for a in ODD for b in ODD]
-    encoder = Encoder(path, blanks)
+    texts += ["<|startoftext|>a", "x <|endoftext|>", "<|endoftext", "a<|endoftext|>b <|endoftext|>\n", "word<|EndOfText|>"]
+    encoder = Encoder(path, blanks, specials)
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    if not specials:
+        tokenizer.encode_special_tokens = True
     want = [np.array(x.ids, dtype="<u4").tobytes() for x in tokenizer.encode_batch(texts, add_special_tokens=False)]
     assert encoder.encode(texts) == want
 
