@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.catalog import register
 from riskloom.fixtures import view, with_views
@@ -300,6 +301,31 @@ def scan_csv_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_delimited(spark, path, schema=orders.schema, column_types={"o_orderkey": "string"})
 
 
+@register(
+    "scan_csv_refused",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 97 = 0 THEN 'number of fields' WHEN o_orderkey % 89 = 0 THEN 'number of fields'
+  WHEN o_orderkey % 83 = 0 THEN 'open quote' WHEN o_orderkey % 79 = 0 THEN 'o_totalprice is not double' ELSE 'read' END AS reason,
+  CASE WHEN o_orderkey % 97 = 0 OR o_orderkey % 89 = 0 OR o_orderkey % 83 = 0 OR o_orderkey % 79 = 0 THEN NULL ELSE o_totalprice END AS o_totalprice FROM orders""",
+)
+def scan_csv_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with a field missing, one too many, an open quote or a wrong type come out apart, with their reasons."""
+    lines = view(spark, sf_dir, "orders").select(
+        F.expr("""CASE WHEN o_orderkey % 97 = 0 THEN concat(o_orderkey, ',', o_totalprice)
+  WHEN o_orderkey % 89 = 0 THEN concat(o_orderkey, ',', o_totalprice, ',', o_orderstatus, ',more')
+  WHEN o_orderkey % 83 = 0 THEN concat(o_orderkey, ',"', o_totalprice, ',', o_orderstatus)
+  WHEN o_orderkey % 79 = 0 THEN concat(o_orderkey, ',much,', o_orderstatus)
+  ELSE concat(o_orderkey, ',', o_totalprice, ',"', o_orderstatus, '"') END""").alias("value")
+    )
+    path = scratch_path(spark, "orders_lines")
+    lines.write.text(path)
+    schema = T._parse_datatype_string("o_orderkey long, o_totalprice double, o_orderstatus string")
+    rows, refused = tables.read_delimited_checked(spark, path, schema, header=False)
+    key = F.regexp_extract("line", "^[0-9]+", 0).cast("long").alias("o_orderkey")
+    return rows.select("o_orderkey", F.lit("read").alias("reason"), "o_totalprice").unionByName(
+        refused.select(key, "reason", F.lit(None).cast("double").alias("o_totalprice"))
+    )
+
+
 @register("read_or_build", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
 def read_or_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Built and written on the first call, only read on the second."""
@@ -320,6 +346,16 @@ def ip_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, "txn").select("txn_id", ip_to_int(F.col("ip_address")).alias("ip_number"))
 
 
+@register(
+    "ip_country_without_ranges",
+    with_views(["txn"], "SELECT txn_id, ip_address FROM txn"),
+)
+def ip_country_without_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nothing to match with: the rows stay as they are."""
+    txn = view(spark, sf_dir, "txn").select("txn_id", "ip_address")
+    return geo.locate_addresses(txn, view(spark, sf_dir, "ip_country").where("false"))
+
+
 @register("ip_country_asof", with_views(["txn", "ip_country"], f"WITH {SQL_GEO} SELECT txn_id, country FROM geo"))
 def ip_country_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     txn = view(spark, sf_dir, "txn").select("txn_id", "ip_address")

@@ -6,6 +6,7 @@ labels in SQL, row by row.
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from riskloom.catalog.features import CENTS
 from riskloom.catalog.preparation import rounded
 from riskloom.catalog.resampling import CARD_KEY, FEATURES, card_with_key, sql_word
 from riskloom.fixtures import view, with_views
-from riskloom.operators import explain, models, sampling, trees
+from riskloom.operators import derive, explain, models, sampling, trees
 from riskloom.plans import engineer, interpret, prepare, score, train
 from riskloom.session import scratch_path, written_once
 from riskloom.sources import runs
@@ -186,6 +187,38 @@ def training_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("row_key", F.col(score.LABEL).alias("label"))
 
 
+@register(
+    "features_follow_changes",
+    with_views(
+        ["card"],
+        """SELECT 'again' AS call, count(*) AS n, count(*) AS refunds FROM card WHERE l_orderkey % 2 = 0
+UNION ALL SELECT 'file added', count(*), count(*) FROM card UNION ALL SELECT 'stage changed', count(*), 0 FROM card""",
+    ),
+)
+def features_follow_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored features are used while stages and input files are the same, and built anew when a file is added or a
+    stage told otherwise: rows, and rows with the refund column."""
+    source, path = scratch_path(spark, "given"), f"{scratch_path(spark, 'reused')}/features"
+    card = keyed_card(spark, sf_dir)
+    card.where("l_orderkey % 2 = 0").write.parquet(source)
+    found = []
+
+    def call(name: str, preparation, rows: DataFrame | None = None) -> None:
+        rows = spark.read.parquet(source) if rows is None else rows
+        _, features = prepare.reused_features(preparation, rows, path, [source])
+        refunds = F.count(derive.REFUND) if derive.REFUND in features.columns else F.lit(0).cast("long")
+        found.append(features.agg(F.lit(name).alias("call"), F.count("*").alias("n"), refunds.alias("refunds")).first())
+
+    usual = prepare.card_preparation(CARD_NUMBERS, keep=["row_key", "Class"])
+    call("first", usual)
+    # Rows that would give an empty table are not read.
+    call("again", usual, spark.read.parquet(source).where("false"))
+    card.where("l_orderkey % 2 <> 0").write.mode("append").parquet(source)
+    call("file added", usual)
+    call("stage changed", Pipeline(stages=[s for s in usual.getStages() if not isinstance(s, prepare.stages.RefundFlag)]))
+    return spark.createDataFrame(found[1:], "call string, n long, refunds long")
+
+
 # A class of one category: its one-hot column alone decides.
 SOURCE_RULE = "source = 'Ads'"
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
@@ -23,7 +24,14 @@ RUNTIME_SETTINGS = {
 }
 
 
-_scratch: list[str] = []
+class _Made(threading.local):
+    """Scratch tables by thread, so jobs that run side by side do not delete each other's."""
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+
+
+_made = _Made()
 _shipped: set[str] = set()
 
 
@@ -90,14 +98,14 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder for a table a job writes and reads back."""
     path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    _scratch.append(path)
+    _made.paths.append(path)
     return path
 
 
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
     """Delete on leaving the scratch tables written inside; only for work whose results do not read them."""
-    before = len(_scratch)
+    before = len(_made.paths)
     try:
         yield
     finally:
@@ -105,11 +113,11 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
 
 
 def drop_scratch(spark: SparkSession, keep: int = 0) -> int:
-    """Delete the scratch tables this process has written after the first ``keep``, once their results are no
+    """Delete the scratch tables this thread has written after the first ``keep``, once their results are no
     longer needed."""
     dropped = 0
-    while len(_scratch) > keep:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+    while len(_made.paths) > keep:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_made.paths.pop())
         files = path.getFileSystem(spark._jsc.hadoopConfiguration())
         dropped += bool(files.delete(path, True))
     return dropped

@@ -7,8 +7,11 @@ from collections.abc import Callable, Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskloom.session import scratch_path
+
 log = logging.getLogger(__name__)
 
 DELIMITED_KINDS = ("csv", "txt")
@@ -53,6 +56,34 @@ def read_delimited(
         return empty
 
 
+def read_delimited_checked(
+    spark: SparkSession, path: str, schema: T.StructType, delimiter: str = ",", header: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, refused lines) of a text table, from one pass.
+
+    A line is refused when it has too few or too many fields, when a quote is not closed, or when a field does not read as its
+    column's type (an empty field is a null). Refused lines come whole, with the reason, the file and where
+    in it the block begins that holds them. The pass writes both to the shared folder; types are given, so none is spent on inferring them.
+    """
+    line = "__line"
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields]).add(line, T.StringType())
+    raw = spark.read.options(header=header, sep=delimiter, mode="PERMISSIVE", columnNameOfCorruptRecord=line).schema(texts).csv(path)
+    quotes = F.length(line) - F.length(F.replace(F.col(line), F.lit('"'), F.lit("")))
+    shape = F.when(F.col(line).isNotNull(), F.when(quotes % 2 == 1, F.lit("open quote")).otherwise(F.lit("number of fields")))
+    cells = {f.name: F.col(f"`{f.name}`") for f in schema.fields}
+    typed = {name: cells[name].try_cast(f.dataType) for name, f in zip(cells, schema.fields)}
+    wrong = [F.when(cells[n].isNotNull() & typed[n].isNull(), F.lit(f"{n} is not {f.dataType.simpleString()}")) for n, f in zip(cells, schema.fields)]
+    whole = F.coalesce(F.col(line), F.concat_ws(delimiter, *[F.coalesce(c, F.lit("")) for c in cells.values()]))
+    both = raw.select(
+        F.struct(*[typed[n].alias(n) for n in typed]).alias("row"),
+        F.struct(whole.alias("line"), F.coalesce(shape, *wrong).alias("reason"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")).alias("refusal"),
+    )
+    path = scratch_path(spark, "checked-lines")
+    both.withColumn("refused", F.col("refusal.reason").isNotNull()).write.partitionBy("refused").parquet(path)
+    kept = spark.read.schema(T.StructType([*both.schema.fields, T.StructField("refused", T.BooleanType())])).parquet(path)
+    return kept.where("not refused").select("row.*"), kept.where("refused").select("refusal.*")
+
+
 def write_features(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
     """Replace the table at ``path``; text output carries a header row."""
     writer = df.write.mode("overwrite")
