@@ -25,6 +25,7 @@ HEADLINE = [
     "velocity_user",
     "velocity_device",
     "velocity_user_chunked",
+    "velocity_batches",
     "ecommerce_prepared",
     "card_prepared",
     "profile_columns",
@@ -40,14 +41,21 @@ HEADLINE = [
     "metrics_binary",
     "roc_curve",
     "stratified_split",
+    "one_hot_sparse",
     "smote_points",
+    "near_in_class",
     "train_logistic",
     "train_tree",
     "batch_score",
     "shapley_linear",
     "shapley_sampled",
+    "shapley_trees",
+    "shapley_kernel",
 ]
 
+#: Trainings of many trees, which take minutes each: added with BENCH_LONG=1.
+LONG = ["train_light_boosted", "train_boosted", "train_forest", "training_run"]
+
 
 def main() -> None:
     tables = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -62,7 +70,7 @@ def main() -> None:
         return time.perf_counter() - start
 
     seconds = {}
-    for name in HEADLINE:
+    for name in [*HEADLINE, *(LONG if os.environ.get("BENCH_LONG") else [])]:
         if os.path.isdir(warm):
             run(name, warm)
         seconds[name] = round(run(name, tables), 3)
