@@ -61,7 +61,8 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of ``edges`` (u, v; any order, repeats and loops allowed): (node, root)
-    for every node that has an edge to another, ``root`` the smallest node reachable.
+    for every node that has an edge to another, ``root`` the smallest node reachable. The roots
+    themselves have no row of their own: who needs all members adds them.
 
     Large and small stars alternate until the edges stop changing. Each round is written to the
     shared folder, so plans stay short and a lost executor costs one round at most. Only a count

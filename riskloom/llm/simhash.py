@@ -165,6 +165,8 @@ def near_duplicates(df: DataFrame, key_col: str = "doc_id", text_col: str = "tex
     # One node for each distinct fingerprint: the first of its rows.
     nodes = grouped.where("row = best.row").select(F.col("row").alias("node"), "fp", "best")
     joined = components(links(nodes.select("node", "fp"), distance))
+    # A component's root is not among its nodes.
+    joined = joined.union(joined.select("root", "root").distinct().toDF("node", "root"))
     # The first row of each component, over its fingerprints.
     members = nodes.join(joined, "node").select("node", "root", "best")
     spread_members = members.withColumn("_bucket", F.pmod(F.xxhash64("node"), F.lit(spread)))

@@ -89,6 +89,38 @@ def test_edge_cases_against_brute_force(docs_of, edge_pairs):
     assert sorted((str(r.id), f"{r.fp % (1 << 64):016x}", str(r.best.id)) for r in got) == sorted(want)
 
 
+def chained_pairs():
+    """Texts whose fingerprints differ in one or two bits from the one before, in rising, falling and mixed order of ids."""
+    rng = random.Random(11)
+    words = [f"w{rng.randrange(5000)}" for _ in range(400)]
+    chain, value = [" ".join(words)], brute_fingerprint(" ".join(words))
+    while len(chain) < 4:
+        other = list(words)
+        other[rng.randrange(len(words))] = f"x{rng.randrange(10**6)}"
+        new = brute_fingerprint(" ".join(other))
+        if 1 <= bin(value ^ new).count("1") <= 2:
+            words, value = other, new
+            chain.append(" ".join(words))
+    ids = [(1, 2, 3, 4), (14, 13, 12, 11), (22, 24, 21, 23)]
+    return [[(i, f"{text} {g}" if g else text) for i, text in zip(order, chain)] for g, order in enumerate(ids)]
+
+
+@pytest.mark.parametrize("which", [0, 1, 2])
+def test_component_id_is_the_smallest_of_all_members(docs_of, which):
+    """The row whose number is least (a component's root) counts, and gets its group's id."""
+    pairs = chained_pairs()[which] + [(50, "something else entirely")]
+    got = {r.id: r.best.id for r in near_duplicates(docs_of(pairs)).collect()}
+    roots = brute_roots([brute_fingerprint(t) for _, t in pairs])
+    assert got == {i: min(x for (x, _), r in zip(pairs, roots) if r == root) for (i, _), root in zip(pairs, roots)}
+    assert len(set(got.values())) < len(pairs)
+
+
+def test_stage_keeps_one_of_each_chain(docs_of):
+    pairs = chained_pairs()[0]
+    left = without_near_duplicates(docs_of(pairs)).select("doc_id").collect()
+    assert [r.doc_id for r in left] == [1]
+
+
 def test_stage_keeps_one_of_each_group(docs_of, edge_pairs):
     docs = docs_of(edge_pairs)
     out = without_near_duplicates(docs)
