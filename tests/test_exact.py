@@ -5,10 +5,11 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.operators import running, sampling
+from riskloom.operators import forest, running, sampling
 from riskloom.operators.forest import leaves, near_neighbours
 from riskloom.operators.neighbours import nearest_neighbours
 from riskloom.operators.quantiles import exact_quantiles, exact_quantiles_by
+from riskloom.operators.resample import synthetic_rows
 from riskloom.session import written_once
 
 
@@ -157,3 +158,26 @@ def test_forest_is_exact_within_one_leaf_and_with_copies(spark):
     assert near_neighbours(df.limit(0), "id", ["a", "b"], 5).count() == 0
     with pytest.raises(ValueError, match="too small"):
         near_neighbours(df, "id", ["a", "b"], 5, leaf_rows=10)
+
+
+def test_crowded_cells_are_cut_before_a_task_takes_them(spark, monkeypatch):
+    """Several rounds, text ids with nulls last, and lists that name the ids given."""
+    monkeypatch.setattr(forest, "CELL_LEAVES", 2)
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(3_000, 3)).round(5)
+    ids = np.array([f"k{i * 7 % 3000}" for i in range(3_000)])
+    df = spark.createDataFrame(pd.DataFrame(x, columns=list("abc")).assign(id=ids))
+    near = written_once(near_neighbours(df, "id", list("abc"), 5, leaf_rows=128), "near")
+    assert near.count() == 5 * len(x) and set(near.columns) == {"id", "neighbour", "rank", "distance"}
+    assert recall(near, ids, x, 5, range(0, 3_000, 10)) >= 0.9
+
+
+def test_neighbour_searches_broadcast_no_table_of_points(spark):
+    """An array counts as one number in Spark's estimates, so tables of wide vectors passed for small ones and went to the driver."""
+    names = [f"c{i}" for i in range(60)]
+    rows = spark.range(60).select("id", (F.col("id") % 3 > 0).cast("int").alias("y"), *[(F.col("id") * (i + 1) % 17).cast("double").alias(c) for i, c in enumerate(names)])
+    for made in (near_neighbours(rows, "id", names, 5), nearest_neighbours(rows, "id", names, 5), synthetic_rows(rows, "y", "id", names)):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan
+        # Only the few crowded cells may be.
+        assert not [line for line in plan.splitlines() if "BroadcastHashJoin" in line and "tree" not in line]
