@@ -12,7 +12,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import functions as F
 
 from riskloom.operators import explain, trees
-from riskloom.operators.leafwise import LeafwiseBooster, LeafwiseModel
+from riskloom.operators.leafwise import LeafwiseBooster, LeafwiseModel, reached
 from riskloom.operators.models import VECTOR, score_column
 
 NAMES = list("abcdef")
@@ -181,3 +181,24 @@ def test_edges(points, spark):
     assert constant.transform(df.limit(0)).count() == 0
     with pytest.raises(ValueError, match="maxBins"):
         LeafwiseBooster(featuresCol=VECTOR, labelCol="y", maxBins=1000).fit(df)
+
+
+def test_leaves_of_a_block_are_those_of_a_walk():
+    """Also for more nodes than small numbers hold, and for a tree of one leaf."""
+    rng = np.random.default_rng(4)
+    bins = rng.integers(0, 256, (3, 50)).astype(np.uint8)
+    for leaves in (1, 2, 31, 9_000):
+        feature, cut, left, right = [0], [0], [-1], [-1]
+        while len(left) < 2 * leaves - 1:
+            node = int(rng.choice(np.flatnonzero(np.array(left) < 0))) if leaves < 100 else len(left) - 1
+            feature[node], cut[node] = int(rng.integers(3)), int(rng.integers(255)) if leaves < 100 else 0
+            left[node], right[node] = len(left), len(left) + 1
+            for column, value in ((feature, 0), (cut, 0), (left, -1), (right, -1)):
+                column += [value] * 2
+        want = []
+        for row in bins.T:
+            at = 0
+            while left[at] >= 0:
+                at = left[at] if row[feature[at]] <= cut[at] else right[at]
+            want.append(at)
+        assert reached(bins, *(np.array(x, np.int32) for x in (feature, cut, left, right))).tolist() == want
