@@ -128,3 +128,13 @@ def test_state_takes_each_batch_once_from_many_drivers(spark, tmp_path):
     state.compact(from_day=10**6)
     assert state.measured(late).where("who_transactions_last_30d > 0").count() == 0
     assert state.measured(late.limit(0)).count() == 0
+
+
+def test_measures_are_joined_without_a_broadcast(spark):
+    rows = [(i, f"w{i % 5}", START + i * DAY, 1.0) for i in range(20)]
+    df = spark.createDataFrame(rows, KIND).withColumn("place", F.concat(F.lit("p"), F.col("key") % 3))
+    for ids in (["who"], ["who", "place"]):
+        out = velocity.add_velocity(df, ids, "at", "amount")
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
