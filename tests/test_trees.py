@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from riskloom.operators import explain, trees
 from riskloom.operators.leafwise import LeafwiseBooster, LeafwiseModel, reached
-from riskloom.operators.models import VECTOR, score_column
+from riskloom.operators.models import VECTOR, make_estimator, score_column
 
 NAMES = list("abcdef")
 
@@ -202,3 +202,27 @@ def test_leaves_of_a_block_are_those_of_a_walk():
                 at = left[at] if row[feature[at]] <= cut[at] else right[at]
             want.append(at)
         assert reached(bins, *(np.array(x, np.int32) for x in (feature, cut, left, right))).tolist() == want
+
+
+@pytest.mark.parametrize("task", ["classifier", "regressor"])
+def test_boosting_is_that_of_mllib_without_its_rows_as_objects(points, task):
+    """Few values a column, so both cut halfway between them; a job per level and tree, none for the leaves of a full tree."""
+    df, _, _ = points
+    coarse = VectorAssembler(inputCols=NAMES, outputCol=VECTOR).transform(df.drop(VECTOR).select("id", "y", "z", *[F.round(F.col(c) * 5) / 5 + F.lit(0.0) for c in NAMES]).toDF("id", "y", "z", *NAMES))
+    label, kind = ("y", GBTClassifier) if task == "classifier" else ("z", GBTRegressor)
+    ours = make_estimator("boosted", task, label, n_estimators=6, max_depth=3)
+    assert isinstance(ours, LeafwiseBooster)
+    model = ours.fit(coarse)
+    theirs = kind(featuresCol=VECTOR, labelCol=label, maxIter=6, maxDepth=3, stepSize=0.1, maxBins=256).fit(coarse)
+    scores = [[r["score"] for r in score_column(m, m.transform(coarse), task).orderBy("id").collect()] for m in (model, theirs)]
+    assert np.allclose(*scores)
+
+
+def test_boosting_of_one_class_and_of_wrong_labels(points):
+    df, _, _ = points
+    flat = df.withColumn("one", df["a"] * 0 + 1)
+    for task in ("classifier", "regressor"):
+        model = make_estimator("boosted", task, "one", n_estimators=3, max_depth=2).fit(flat)
+        assert {round(r["score"]) for r in score_column(model, model.transform(df), task).collect()} == {1}
+    with pytest.raises(ValueError, match="0 or 1"):
+        make_estimator("boosted", "classifier", "z", n_estimators=1).fit(df)
