@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from riskloom.operators import forest, running, sampling
 from riskloom.operators.forest import leaves, near_neighbours
-from riskloom.operators.neighbours import nearest_neighbours
+from riskloom.operators.neighbours import first_of, nearest_neighbours, reaches
 from riskloom.operators.quantiles import exact_quantiles, exact_quantiles_by
 from riskloom.operators.resample import synthetic_rows
 from riskloom.session import written_once
@@ -181,3 +181,21 @@ def test_neighbour_searches_broadcast_no_table_of_points(spark):
         assert "SortMergeJoin" in plan
         # Only the few crowded cells may be.
         assert not [line for line in plan.splitlines() if "BroadcastHashJoin" in line and "tree" not in line]
+
+
+def test_the_first_of_each_row_are_those_of_a_stable_sort():
+    rng = np.random.default_rng(2)
+    for width in (3, 6, 40):
+        far = rng.integers(0, 5, (30, width)).astype(float)
+        far[:4, 1:] = np.nan
+        rows, columns = first_of(far, 6)
+        want = np.argsort(far, axis=1, kind="stable")[:, :6]
+        assert columns.reshape(want.shape).tolist() == want.tolist()
+        assert rows.reshape(want.shape).tolist() == [[i] * want.shape[1] for i in range(30)]
+
+
+def test_a_reach_holds_k_others():
+    v = np.random.default_rng(3).normal(size=(700, 2))
+    far = np.sqrt(((v[:, None] - v[None]) ** 2).sum(2))
+    assert np.allclose(reaches(v, 4), np.sort(far, axis=1)[:, 4])
+    assert np.isinf(reaches(v[:4], 4)).all()
