@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import SLICE, components, numbered, quoted, shuffle_partitions, smallest_of_group
-from riskloom.session import written_once
+from riskloom.session import written_alone, written_once
 
 SEED = 42
 SHINGLE = 3
@@ -184,11 +184,16 @@ def near_duplicates(df: DataFrame, key_col: str = "doc_id", text_col: str = "tex
     return out.select("row", "id", "fp", F.coalesce("first", "best").alias("best"))
 
 
+def not_first(rows: DataFrame) -> DataFrame:
+    """(node) of the ``rows`` (node, id, text) that are not first of their group; equal ids by node."""
+    first = near_duplicates(rows.select(F.struct(F.col("id").isNull().alias("none"), "id", "node").alias("key"), "text"), "key", "text")
+    return first.where("row <> best.row").select(F.col("id.node").alias("node"))
+
+
 def without_near_duplicates(df: DataFrame, key_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` that are first of their group, with all their columns."""
-    held = written_once(df.select(F.struct("*").alias("columns"), F.monotonically_increasing_id().alias("key")), "rows")
-    texts = held.select("key", quoted("columns").getField(key_col).alias("id"), quoted("columns").getField(text_col).alias("text"))
-    # The row number orders like the key within equal ids and names the row.
-    first = near_duplicates(texts.select(F.struct(F.col("id").isNull().alias("none"), "id", "key").alias("key"), "text"), "key", "text")
-    staying = first.where("row = best.row").select(F.col("id.key").alias("key"))
-    return held.join(staying, "key", "left_semi").select("columns.*")
+    held = written_once(df.select(F.struct("*").alias("columns"), F.monotonically_increasing_id().alias("node")), "rows")
+    columns = quoted("columns")
+    texts = held.select("node", columns.getField(key_col).alias("id"), columns.getField(text_col).alias("text"))
+    leaving = written_alone(df.sparkSession, "leaving", lambda: not_first(texts))
+    return held.join(leaving, "node", "left_anti").select("columns.*")
