@@ -12,6 +12,8 @@ from riskloom.session import configure, written_once
 
 #: Rows are handed to Python code in slices of this many, so a task holds few texts at a time.
 SLICE = 256
+#: Codec of the copies of whole rows, which lie on disk as long as the result is needed.
+TEXTS = "zstd"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,9 +26,9 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def numbered(df: DataFrame, name: str) -> DataFrame:
+def numbered(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """``df`` with a ``row`` number, written once: the numbers stay the same when tasks are run again."""
-    return written_once(df.withColumn("row", F.monotonically_increasing_id()), name)
+    return written_once(df.withColumn("row", F.monotonically_increasing_id()), name, codec)
 
 
 def over_slices(

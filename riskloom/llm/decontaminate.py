@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import quoted
+from riskloom.llm.common import TEXTS, quoted
 from riskloom.session import written_once
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -373,7 +373,7 @@ def matches(df: DataFrame, items: DataFrame, window: int = 10, span: int | None
 
 def without_contaminated(df: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
     """The rows of ``df`` with no hit word, with all their columns; a null doc_id is judged by its text too."""
-    numbered_rows = written_once(df.select(F.struct("*").alias("columns"), F.monotonically_increasing_id().alias("row")), "rows")
+    numbered_rows = written_once(df.select(F.struct("*").alias("columns"), F.monotonically_increasing_id().alias("row")), "rows", TEXTS)
     texts = numbered_rows.select("row", F.col("columns.text").alias("text"))
     bad = document_hits(texts, items, window, key_col="row").where("contaminated").select(F.col("doc_id").alias("row"))
     # Written first, so that Spark knows their size: a few are broadcast under its own limit and the texts

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import numbered, quoted, shuffle_partitions
+from riskloom.llm.common import TEXTS, numbered, quoted, shuffle_partitions
 
 #: Runs that are merged into one in each round.
 FAN = 4
@@ -44,6 +44,7 @@ def with_digests(df: DataFrame, id_col: str, text_col: str, keep_columns: bool =
             F.octet_length(text).alias("n_bytes"),
         ),
         "digests",
+        TEXTS if keep_columns else None,
     )
 
 

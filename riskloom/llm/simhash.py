@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import SLICE, components, numbered, quoted, shuffle_partitions, smallest_of_group
+from riskloom.llm.common import SLICE, TEXTS, components, numbered, quoted, shuffle_partitions, smallest_of_group
 from riskloom.session import written_alone, written_once
 
 SEED = 42
@@ -192,7 +192,7 @@ def not_first(rows: DataFrame) -> DataFrame:
 
 def without_near_duplicates(df: DataFrame, key_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` that are first of their group, with all their columns."""
-    held = written_once(df.select(F.struct("*").alias("columns"), F.monotonically_increasing_id().alias("node")), "rows")
+    held = written_once(df.select(F.struct("*").alias("columns"), F.monotonically_increasing_id().alias("node")), "rows", TEXTS)
     columns = quoted("columns")
     texts = held.select("node", columns.getField(key_col).alias("id"), columns.getField(text_col).alias("text"))
     leaving = written_alone(df.sparkSession, "leaving", lambda: not_first(texts))
