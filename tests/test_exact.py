@@ -1,11 +1,16 @@
 """Exact quantiles, running totals, samples and neighbours against plain computation."""
 
+import hashlib
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.operators import forest, running, sampling
+from riskloom import session
+from riskloom.operators import forest, resample, running, sampling
 from riskloom.operators.forest import leaves, near_neighbours
 from riskloom.operators.neighbours import first_of, nearest_neighbours, reaches
 from riskloom.operators.quantiles import exact_quantiles, exact_quantiles_by
@@ -172,6 +177,46 @@ def test_crowded_cells_are_cut_before_a_task_takes_them(spark, monkeypatch):
     assert recall(near, ids, x, 5, range(0, 3_000, 10)) >= 0.9
 
 
+def test_trees_are_searched_in_turn_and_leave_nothing_but_the_lists(spark, monkeypatch, tmp_path):
+    """The lists are those of all trees at once; places and earlier lists are gone."""
+    x = np.random.default_rng(4).normal(size=(2_000, 3)).round(5)
+    points = written_once(spark.createDataFrame([(int(i), v.tolist()) for i, v in enumerate(x)], "id long, v array<double>"), "points")
+
+    def lists(made):
+        return sorted((r["id"], [(p["d2"], p["neighbour"]) for p in r["near"]]) for r in made.collect())
+
+    monkeypatch.setattr(forest, "CELL_LEAVES", 1)
+    at_once = forest.candidates(points, 6, range(1, 4), 128, 2, 42)
+    want = lists(forest.best_of(reduce(DataFrame.unionByName, at_once), 6))
+    monkeypatch.setattr(session, "shared_folder", lambda _: str(tmp_path))
+    got = forest.nearest_lists(points, 6, 3, 128, 2, 42)
+    assert [p.name.split("-")[0] for p in tmp_path.iterdir()] == ["lists"]
+    assert lists(got) == want
+    df = spark.createDataFrame(pd.DataFrame(x, columns=list("abc")).assign(id=[f"k{i}" for i in range(len(x))]))
+    near = near_neighbours(df, "id", list("abc"), 5, leaf_rows=128)
+    assert {p.name.split("-")[0] for p in tmp_path.iterdir()} == {"lists", "points", "names", "numbered", "places"}
+    assert near.count() == 5 * len(x)
+
+
+def test_vectors_are_looked_up_for_the_neighbours_that_copies_use(spark, monkeypatch):
+    """Fewer copies than neighbours use some of them; the rows made are those of the whole lists."""
+    rng = np.random.default_rng(6)
+    pdf = pd.DataFrame(rng.normal(size=(90, 2)).round(4), columns=["a", "b"]).assign(id=[f"k{i}" for i in range(90)], y=[int(i < 40) for i in range(90)])
+    rows, sent = spark.createDataFrame(pdf), []
+    keep = resample.written_alone
+    monkeypatch.setattr(resample, "written_alone", lambda *a: sent.append(keep(*a)) or sent[-1])
+    made = {(r["id"], r["copy"]): (r["a"], r["b"]) for r in synthetic_rows(rows, "y", "id", ["a", "b"]).collect()}
+    assert len(made) == 10 and sent[0].count() == 10
+    few = pdf[pdf.y == 1].reset_index(drop=True)
+    x = few[["a", "b"]].to_numpy()
+    for (key, copy), got in made.items():
+        at = int(few.index[few.id == key][0])
+        order = np.argsort(((x - x[at]) ** 2).sum(1), kind="stable")[1:]
+        hexed = hashlib.md5(f"42|{key}|{copy}".encode()).hexdigest()
+        there, u = x[order[int(hexed[:8], 16) % 5]], int(hexed[8:16], 16) / 2**32
+        assert np.allclose(got, x[at] + u * (there - x[at]))
+
+
 def test_neighbour_searches_broadcast_no_table_of_points(spark):
     """An array counts as one number in Spark's estimates, so tables of wide vectors passed for small ones and went to the driver."""
     names = [f"c{i}" for i in range(60)]
