@@ -30,6 +30,8 @@ from riskloom.session import written_once
 CELLS = 500_000
 COLUMNS = 1 << 16
 BLOCK = 200_000
+#: Shards a task writes or reads at a time, each of some 10 MB.
+TOGETHER = 2
 
 #: Bytes of terms: ASCII digits and letters, and all bytes of other characters.
 IN_TERM = np.zeros(256, bool)
@@ -160,7 +162,7 @@ def build_index(df: DataFrame, key: str = "doc_id", text: str = "text") -> Index
             yield shard.packed(totals, arrow)
 
     shards = rows.where(F.length("text") > 0).mapInArrow(work, SHARD.format(kind=kind))
-    return Index(written_once(shards, "treaps"), totals, kind)
+    return Index(written_once(shards, "treaps", group_rows=TOGETHER), totals, kind)
 
 
 def item_blocks(items: DataFrame, item: str, text: str) -> Iterator[list[tuple[object, Counter]]]:

@@ -3,6 +3,8 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 import __spark_entry__ as entry
@@ -78,3 +80,15 @@ def test_query_equals_brute_force(spark, sf):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     assert rows_of(entry.queries()["op13_ranked_search"](spark, sf)) == brute(docs, items, 20)
+
+
+def test_shards_are_written_and_read_few_at_a_time(spark):
+    """A task's memory holds some shards, not all that its file has, and its worker gets no more than some megabytes at once."""
+    rows = 3 * ranked.COLUMNS + 1
+    index = ranked.build_index(spark.range(0, rows, 1, 1).selectExpr("id AS doc_id", "concat('w', id % 1000) AS text"))
+    groups = [pq.ParquetFile(f.removeprefix("file:").replace("///", "/")).metadata for f in index.shards.inputFiles()]
+    sizes = [g.row_group(i).num_rows for g in groups for i in range(g.num_row_groups)]
+    assert sum(sizes) == 4 and max(sizes) <= ranked.TOGETHER
+    long = spark.range(0, 300, 1, 1).selectExpr("repeat('a', 100000) AS text")
+    most = long.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches), "n long").agg({"n": "max"}).first()[0]
+    assert most < 20e6
