@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 
 from riskloom.operators import clean, resample
 from riskloom.plans import prepare
+from riskloom.session import scratch_scope, written_alone
 from riskloom.sources import runs, tables
 
 log = logging.getLogger(__name__)
@@ -41,13 +42,17 @@ def prepare_table(
     if rows.isEmpty():
         log.warning("no raw rows for %s; skipped", path)
         return None
-    fitted, prepared = prepare.fit_transform(preparation, clean.label_to_int(rows, label))
-    tables.write_features(clean.fill_missing(prepared), path, fmt)
+    spark = rows.sparkSession
+    # The tables of features and of oversampling are deleted as soon as what they are for is written.
+    with scratch_scope(spark):
+        fitted, prepared = prepare.fit_transform(preparation, clean.label_to_int(rows, label))
+        tables.write_features(clean.fill_missing(prepared), path, fmt)
     runs.save_model(fitted, f"{path}-preparation")
-    reader = rows.sparkSession.read
-    written = reader.schema(prepared.schema).option("header", True).csv(path) if fmt == "csv" else reader.parquet(path)
+    written = spark.read.schema(prepared.schema).option("header", True).csv(path) if fmt == "csv" else spark.read.parquet(path)
     features = fitted.stages[-1].feature_names()
-    return Prepared(written, resample.imbalance_report(written, label, key, features, seed=seed))
+    if label not in written.columns:
+        return Prepared(written, resample.imbalance_report(written, label, key, features, seed=seed))
+    return Prepared(written, written_alone(spark, "imbalance", lambda: resample.imbalance_report(written, label, key, features, seed=seed)))
 
 
 def prepare_both(
